@@ -1,13 +1,13 @@
 """Registered queries and the SQL they are checked against."""
 
-from stratalake.catalog import layout, marts, mutation, relational, retrieval, tables, text
+from stratalake.catalog import layout, marts, mutation, relational, retrieval, streams, tables, text
 
-MODULES = (relational, mutation, text, retrieval, marts, tables, layout)
+MODULES = (relational, mutation, text, retrieval, marts, tables, layout, streams)
 
 
 def all_queries() -> dict:
-    return {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
+    return {name: fn for m in MODULES for name, fn in m.registry.queries.items()}
 
 
 def all_oracles() -> dict:
-    return {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
+    return {name: sql for m in MODULES for name, sql in m.registry.oracle.items()}

@@ -5,27 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratalake.catalog.derive import CALLS_SQL, raw_calls
-from stratalake.functions.measures import error_rate, held, share
+from stratalake.catalog.registry import Registry
+from stratalake.functions.measures import error_rate, held, rounded, share
 from stratalake.functions.payload import parse_payload
 from stratalake.operators.dedup import first_per_key, top_k_per_key
 from stratalake.operators.percentiles import exact_percentiles
 from stratalake.plans.llm_calls import contract_checks, daily_metrics, price_list, rejected_calls, silver_calls
 from stratalake.sources.parquet import load
 
-QUERIES = {}
-ORACLE = {}
-
-
-def query(sql: str | None = None):
-    """Register a function under its name together with the SQL it must equal."""
-
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            ORACLE[fn.__name__] = sql
-        return fn
-
-    return add
+registry = Registry()
+query = registry.query
 
 
 @query(f"WITH {CALLS_SQL} SELECT * FROM silver")
@@ -47,13 +36,13 @@ def rejects(spark, sf):
 def _daily_sql(join: str) -> str:
     return f"""WITH {CALLS_SQL}
 SELECT s.date, s.model,
-  round(quantile_cont(s.latency_ms, 0.5), 4) AS p50_latency_ms,
-  round(quantile_cont(s.latency_ms, 0.95), 4) AS p95_latency_ms,
+  CAST(round(CAST(quantile_cont(s.latency_ms, 0.5) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS p50_latency_ms,
+  CAST(round(CAST(quantile_cont(s.latency_ms, 0.95) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS p95_latency_ms,
   CAST(sum(s.prompt_tokens) AS BIGINT) AS total_prompt_tokens,
   CAST(sum(s.completion_tokens) AS BIGINT) AS total_completion_tokens,
-  round(avg(CASE WHEN s.status <> 'ok' THEN 1.0 ELSE 0.0 END), 6) AS error_rate,
-  round(sum(s.prompt_tokens) * CAST(p.usd_in AS DOUBLE) / 1e6
-    + sum(s.completion_tokens) * CAST(p.usd_out AS DOUBLE) / 1e6, 6) AS cost_usd
+  CAST(round(CAST(avg(CASE WHEN s.status <> 'ok' THEN 1.0 ELSE 0.0 END) AS DECIMAL(38, 12)), 6) AS DOUBLE) AS error_rate,
+  CAST(round(CAST(sum(s.prompt_tokens) * CAST(p.usd_in AS DOUBLE) / 1e6
+    + sum(s.completion_tokens) * CAST(p.usd_out AS DOUBLE) / 1e6 AS DECIMAL(38, 12)), 6) AS DOUBLE) AS cost_usd
 FROM silver s {join} JOIN prices p USING (model)
 GROUP BY s.date, s.model, p.usd_in, p.usd_out"""
 
@@ -62,12 +51,12 @@ def _rounded_daily(df):
     return df.select(
         "date",
         "model",
-        F.round("p50_latency_ms", 4).alias("p50_latency_ms"),
-        F.round("p95_latency_ms", 4).alias("p95_latency_ms"),
+        rounded("p50_latency_ms", 4).alias("p50_latency_ms"),
+        rounded("p95_latency_ms", 4).alias("p95_latency_ms"),
         "total_prompt_tokens",
         "total_completion_tokens",
-        F.round("error_rate", 6).alias("error_rate"),
-        F.round("cost_usd", 6).alias("cost_usd"),
+        rounded("error_rate", 6).alias("error_rate"),
+        rounded("cost_usd", 6).alias("cost_usd"),
     )
 
 
@@ -131,7 +120,7 @@ def negative_balance(spark, sf):
 
 @query("""SELECT source, count(*) FILTER (WHERE quality IS NULL) AS unlabelled,
   count(*) FILTER (WHERE quality IS NOT NULL) AS labelled,
-  round(avg(CASE WHEN quality = 0 THEN 1.0 ELSE 0.0 END), 4) AS poor_share
+  CAST(round(CAST(avg(CASE WHEN quality = 0 THEN 1.0 ELSE 0.0 END) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS poor_share
 FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source""")
 def null_counts(spark, sf):
     joined = load(spark, sf, "documents").select("doc_id", "source").join(load(spark, sf, "labels"), "doc_id", "left")
@@ -167,7 +156,7 @@ def membership(spark, sf):
     return orders.join(chosen, F.col("o_custkey") == F.col("c_custkey"), "left_semi")
 
 
-@query("""SELECT n_name, count(*) AS suppliers, round(avg(s_acctbal), 2) AS avg_balance
+@query("""SELECT n_name, count(*) AS suppliers, CAST(round(CAST(avg(s_acctbal) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS avg_balance
 FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name""")
 def dimension_join(spark, sf):
     nation = load(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
@@ -175,34 +164,35 @@ def dimension_join(spark, sf):
         F.count(F.lit(1)).alias("n"), F.sum("s_acctbal").alias("balance")
     )
     return per_key.join(nation, "s_nationkey").groupBy("n_name").agg(
-        F.sum("n").alias("suppliers"), F.round(F.sum("balance") / F.sum("n"), 2).alias("avg_balance")
+        F.sum("n").alias("suppliers"), rounded(F.sum("balance") / F.sum("n"), 2).alias("avg_balance")
     )
 
 
 @query("""SELECT l_returnflag, l_linestatus, count(*) AS lines, CAST(sum(l_quantity) AS BIGINT) AS quantity,
-  round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, round(avg(l_discount), 4) AS avg_discount,
-  round(quantile_cont(l_extendedprice, 0.5), 4) AS p50_price, round(quantile_cont(l_extendedprice, 0.95), 4) AS p95_price
+  CAST(round(sum(CAST(l_extendedprice AS DECIMAL(15, 2)) * (1 - CAST(l_discount AS DECIMAL(4, 2)))), 2) AS DOUBLE) AS revenue, CAST(round(CAST(avg(l_discount) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS avg_discount,
+  CAST(round(CAST(quantile_cont(l_extendedprice, 0.5) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS p50_price, CAST(round(CAST(quantile_cont(l_extendedprice, 0.95) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS p95_price
 FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def lineitem_summary(spark, sf):
     keys = ["l_returnflag", "l_linestatus"]
     lines = load(spark, sf, "lineitem")
+    net = F.expr("CAST(l_extendedprice AS DECIMAL(15, 2)) * (1 - CAST(l_discount AS DECIMAL(4, 2)))")
     totals = lines.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum("l_quantity").cast("long").alias("quantity"),
-        F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"),
-        F.round(F.avg("l_discount"), 4).alias("avg_discount"),
+        rounded(F.sum(net), 2).cast("double").alias("revenue"),
+        rounded(F.avg("l_discount"), 4).alias("avg_discount"),
     )
     points = exact_percentiles(lines, keys, "l_extendedprice", {"p50_price": 0.5, "p95_price": 0.95})
     return totals.join(points, keys).select(
-        *totals.columns, F.round("p50_price", 4).alias("p50_price"), F.round("p95_price", 4).alias("p95_price")
+        *totals.columns, rounded("p50_price", 4).alias("p50_price"), rounded("p95_price", 4).alias("p95_price")
     )
 
 
-@query("""SELECT round(quantile_cont(value, 0.25), 4) AS q1, round(quantile_cont(value, 0.5), 4) AS q2,
-  round(quantile_cont(value, 0.75), 4) AS q3 FROM events""")
+@query("""SELECT CAST(round(CAST(quantile_cont(value, 0.25) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS q1, CAST(round(CAST(quantile_cont(value, 0.5) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS q2,
+  CAST(round(CAST(quantile_cont(value, 0.75) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS q3 FROM events""")
 def global_percentiles(spark, sf):
     out = exact_percentiles(load(spark, sf, "events"), [], "value", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
-    return out.select(*[F.round(c, 4).alias(c) for c in ("q1", "q2", "q3")])
+    return out.select(*[rounded(c, 4).alias(c) for c in ("q1", "q2", "q3")])
 
 
 @query("""SELECT user_id, event_type, ts, event_id FROM (
@@ -220,7 +210,7 @@ def top5_orders_per_customer(spark, sf):
     return top_k_per_key(orders, ["o_custkey"], [F.desc("o_totalprice"), "o_orderkey"], 5, rank_as="rank")
 
 
-@query("""SELECT c_mktsegment, n_regionkey, count(*) AS customers, round(sum(c_acctbal), 2) AS balance
+@query("""SELECT c_mktsegment, n_regionkey, count(*) AS customers, CAST(round(CAST(sum(c_acctbal) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS balance
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL ORDER BY c_mktsegment, balance DESC""")
 def sorted_report(spark, sf):
     nation = load(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
@@ -228,17 +218,17 @@ def sorted_report(spark, sf):
         load(spark, sf, "customer")
         .join(nation, "c_nationkey")
         .groupBy("c_mktsegment", "n_regionkey")
-        .agg(F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+        .agg(F.count(F.lit(1)).alias("customers"), rounded(F.sum("c_acctbal"), 2).alias("balance"))
         .orderBy("c_mktsegment", F.desc("balance"))
     )
 
 
 @query("""SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS calls,
-  round(avg(CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) > 50 THEN 1.0 ELSE 0.0 END), 6) AS heavy_share
+  CAST(round(CAST(avg(CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) > 50 THEN 1.0 ELSE 0.0 END) AS DECIMAL(38, 12)), 6) AS DOUBLE) AS heavy_share
 FROM events GROUP BY ALL""")
 def json_field_share(spark, sf):
     events = parse_payload(load(spark, sf, "events"), "props", "k int")
     heavy = F.when(F.col("payload.k") > 50, "heavy").otherwise("ok")
     return events.select("event_type", F.to_date("ts").alias("day"), heavy.alias("weight")).groupBy(
         "event_type", "day"
-    ).agg(F.count(F.lit(1)).alias("calls"), F.round(error_rate(F.col("weight")), 6).alias("heavy_share"))
+    ).agg(F.count(F.lit(1)).alias("calls"), rounded(error_rate(F.col("weight")), 6).alias("heavy_share"))

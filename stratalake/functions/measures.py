@@ -6,9 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def rounded(x: Column | str, places: int) -> Column:
+    """Half-up rounding that snaps to six more places first.
+
+    Sums of doubles depend on the order of addition in their last digits; the snap makes half-way cases
+    round the same way whichever order the tasks took.
+    """
+    return F.round(F.round(x, places + 6), places)
+
+
 def share(cond: Column, places: int = 4) -> Column:
     """Rounded share of rows for which ``cond`` holds; NULL counts as not held (A-3)."""
-    return F.round(F.avg(F.when(cond, 1.0).otherwise(0.0)), places)
+    return rounded(F.avg(F.when(cond, 1.0).otherwise(0.0)), places)
 
 
 def error_rate(status: Column, good: str = "ok") -> Column:

@@ -19,6 +19,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratalake.operators.joins import null_safe_join
+
 # bins per unit of log1p(|value|): a bin spans about 0.1 % of the value
 _BINS = 1024
 _CELLS = 4096
@@ -37,16 +39,6 @@ def _bin(v: Column) -> Column:
     )
 
 
-def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Inner equi join that lets NULL group keys meet; keeps the left copy of the join columns."""
-    renamed = right.select(
-        *[F.col(c).alias(f"_r_{c}") for c in cols],
-        *[c for c in right.columns if c not in cols],
-    )
-    cond = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols]
-    return left.join(renamed, cond, "inner").drop(*[f"_r_{c}" for c in cols])
-
-
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -102,7 +94,7 @@ def exact_percentiles(
         (width > 0) & (width < F.lit(float("inf"))),
         F.least(F.floor((F.col("_v") - F.col("_lo")) / width * _CELLS), F.lit(_CELLS - 1)),
     ).otherwise(F.lit(0))
-    inside = _same(counted, picked, [*by, "_bin"]).withColumn("_cell", cell.cast("long")).drop("_lo", "_hi")
+    inside = null_safe_join(counted, picked, [*by, "_bin"]).withColumn("_cell", cell.cast("long")).drop("_lo", "_hi")
 
     cells = inside.groupBy(*by, *ask_key, "_cell").agg(
         F.sum("_n").alias("_n"), F.first("_rank").alias("_rank")
@@ -120,7 +112,7 @@ def exact_percentiles(
         Window.unboundedPreceding, Window.currentRow
     )
     found = (
-        _same(inside.drop("_rank"), cells, [*by, *ask_key, "_cell"])
+        null_safe_join(inside.drop("_rank"), cells, [*by, *ask_key, "_cell"])
         .withColumn("_end", F.sum("_n").over(upto))
         .where((F.col("_rest") < F.col("_end")) & (F.col("_rest") >= F.col("_end") - F.col("_n")))
     )

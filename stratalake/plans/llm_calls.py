@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.measures import error_rate
 from stratalake.functions.payload import is_corrupt, parse_payload
 from stratalake.operators.dedup import first_per_key
+from stratalake.operators.joins import null_safe_join
 from stratalake.operators.percentiles import exact_percentiles, percentile_columns
 from stratalake.plans.settings import CALL_PRICES
 
@@ -84,8 +85,7 @@ def daily_metrics(calls: DataFrame, prices: DataFrame, how: str = "inner", exact
     if exact:
         totals = listed.groupBy(*keys).agg(*sums)
         points = exact_percentiles(listed, keys, "latency_ms", _PERCENTILES)
-        by_key = [totals[k].eqNullSafe(points[k]) for k in keys]
-        totals = totals.join(points, by_key, "left").drop(*[points[k] for k in keys])
+        totals = null_safe_join(totals, points, keys, "left")
     else:
         totals = listed.groupBy(*keys).agg(*sums, *percentile_columns("latency_ms", _PERCENTILES, exact=False))
     cost = (
