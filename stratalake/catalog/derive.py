@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.text import fingerprint
 from stratalake.plans.rag import document_chunks, embedding_rows
 from stratalake.plans.settings import EMBEDDING_MODEL
-from stratalake.sources.parquet import load
+from stratalake.sources.parquet import load, spread_small
 
 AS_OF = "2026-03-01"
 CHUNK_SIZE = 400
@@ -43,7 +43,7 @@ def raw_calls(spark: SparkSession, sf: str) -> DataFrame:
             F.expr(_STATUS).alias("status"),
         )
     )
-    return load(spark, sf, "events").select(
+    return spread_small(load(spark, sf, "events"), "event_id").select(
         F.concat_ws("-", F.col("user_id"), "event_type", F.to_date("ts")).alias("request_id"),
         "ts",
         F.when(F.expr(_BROKEN), F.substring(body, 1, 20)).otherwise(body).alias("raw_json"),
@@ -76,7 +76,7 @@ _MODALITY = "CASE lang WHEN 'en' THEN 'text' WHEN 'fr' THEN 'audio_transcript' E
 def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze documents; ids are text, ingest times are spread over January 2026."""
     ingest = F.expr("timestampadd(MINUTE, CAST(doc_id * 37 % 43200 AS INT), TIMESTAMP_NTZ'2026-01-01 00:00:00')")
-    return load(spark, sf, "documents").select(
+    return spread_small(load(spark, sf, "documents"), "doc_id").select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("doc_id"),
         F.col("source").alias("tenant_id"),
         F.expr(_MODALITY).alias("modality"),
@@ -105,12 +105,16 @@ def chunks(spark: SparkSession, sf: str) -> DataFrame:
     return document_chunks(raw_documents(spark, sf), CHUNK_SIZE, CHUNK_OVERLAP, run_id="run-1")
 
 
-def chunk_embeddings(spark: SparkSession, sf: str) -> DataFrame:
-    """One embedding record per chunk of an unlabelled or harmless document, without the vector."""
+def chunk_embeddings(spark: SparkSession, sf: str, cut: DataFrame | None = None) -> DataFrame:
+    """One embedding record per chunk of an unlabelled or harmless document, without the vector.
+
+    ``cut`` takes chunks that are there already.
+    """
     withdrawn = load(spark, sf, "labels").where("toxic = 1").select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("doc_id")
     )
-    return embedding_rows(chunks(spark, sf).join(withdrawn, "doc_id", "left_anti"), EMBEDDING_MODEL)
+    cut = chunks(spark, sf) if cut is None else cut
+    return embedding_rows(cut.join(withdrawn, "doc_id", "left_anti"), EMBEDDING_MODEL)
 
 
 DOCS_SQL = f"""
@@ -151,7 +155,7 @@ _TOP = "(k * 37 + user_id * 11 + event_id * 7) % 9900 + 100"
 
 def raw_retrieval_logs(spark: SparkSession, sf: str) -> DataFrame:
     """Bronze retrieval log: one JSON payload per event with five ranked chunks and their scores."""
-    events = load(spark, sf, "events").withColumn("k", F.from_json("props", "k int")["k"])
+    events = spread_small(load(spark, sf, "events"), "event_id").withColumn("k", F.from_json("props", "k int")["k"])
     events = events.withColumn("top", F.expr(_TOP))
     ranks = F.array(*[F.lit(i) for i in range(5)])
     tenant = F.concat(F.lit("tenant-"), F.col("event_type"))

@@ -19,20 +19,24 @@ from stratalake.catalog.registry import Registry
 from stratalake.functions.measures import rounded
 from stratalake.plans import alerts, marts, rag
 from stratalake.plans.settings import EMBEDDING_MODEL
-from stratalake.sources.parquet import load
+from stratalake.sources.parquet import load, staged
 
 registry = Registry()
 query = registry.query
 
 
-def _freshness(spark, sf):
-    return marts.freshness_kpi(
-        chunks(spark, sf), current_hashes(spark, sf), chunk_embeddings(spark, sf), ntz(f"{AS_OF} 00:00:00")
-    )
+def _chunks(spark, sf):
+    return staged(chunks(spark, sf), "chunks")
 
 
 def _events(spark, sf):
-    return rag.retrieval_events(raw_retrieval_logs(spark, sf))
+    return staged(rag.retrieval_events(raw_retrieval_logs(spark, sf)), "events")
+
+
+def _freshness(spark, sf):
+    cut = _chunks(spark, sf)
+    made = chunk_embeddings(spark, sf, cut)
+    return marts.freshness_kpi(cut, current_hashes(spark, sf), made, ntz(f"{AS_OF} 00:00:00"))
 
 
 def _quality(spark, sf):
@@ -40,7 +44,8 @@ def _quality(spark, sf):
 
 
 def _cost(spark, sf):
-    return marts.cost_kpi(chunk_embeddings(spark, sf), chunks(spark, sf))
+    cut = _chunks(spark, sf)
+    return marts.cost_kpi(chunk_embeddings(spark, sf, cut), cut)
 
 
 FRESHNESS_SQL = f"""
@@ -217,10 +222,11 @@ def mart_gates(spark, sf):
 SELECT r.event_date, r.tenant_id, r.query_modality, r.event_id, r.bronze_kafka_offset, r.bronze_log_id
 FROM retrieval r WHERE (r.event_date, r.tenant_id, r.query_modality) IN (SELECT (report_date, tenant_id, query_modality) FROM bad)""")
 def lineage_trace(spark, sf):
-    bad = alerts.zero_hit_alerts(_quality(spark, sf), above=0.5)
+    events = _events(spark, sf)
+    bad = alerts.zero_hit_alerts(marts.quality_kpi(events), above=0.5)
     keys = {"report_date": "event_date", "tenant_id": "tenant_id", "query_modality": "query_modality"}
     logs = raw_retrieval_logs(spark, sf).select("log_id", "raw_payload")
-    rows = alerts.lineage(bad, _events(spark, sf), logs, keys, ("bronze_log_id", "log_id"))
+    rows = alerts.lineage(bad, events, logs, keys, ("bronze_log_id", "log_id"))
     return rows.select("event_date", "tenant_id", "query_modality", "event_id", "bronze_kafka_offset", "bronze_log_id")
 
 
@@ -228,7 +234,8 @@ def lineage_trace(spark, sf):
 SELECT DATE '2026-02-15' AS embed_date, tenant_id, '{EMBEDDING_MODEL}' AS embedding_model, modality, count(*) AS reembed_count
 FROM chunks WHERE chunk_id IN (SELECT chunk_id FROM stale) AND chunk_id IN (SELECT chunk_id FROM embedded) GROUP BY ALL""")
 def reembed_per_day(spark, sf):
-    cut, made = chunks(spark, sf), chunk_embeddings(spark, sf)
+    cut = _chunks(spark, sf)
+    made = chunk_embeddings(spark, sf, cut)
     changed = rag.stale_chunks(cut, current_hashes(spark, sf)).select("doc_id").distinct()
     batch = rag.reembed_batch(cut, changed, EMBEDDING_MODEL, ntz("2026-02-15 06:00:00"))
     history = made.withColumn("embed_version", F.lit(1)).unionByName(batch.withColumn("embed_version", F.lit(2)))
@@ -240,10 +247,10 @@ SELECT chunk_id, CASE WHEN doc_id IN (SELECT doc_id FROM stale) THEN 'r-' ELSE '
   CASE WHEN doc_id IN (SELECT doc_id FROM stale) THEN TIMESTAMP '2026-02-15 06:00:00' ELSE embed_ts END AS embed_ts, prompt_tokens, cost_usd
 FROM embedded""")
 def reembed_merge(spark, sf):
-    cut = chunks(spark, sf)
+    cut = _chunks(spark, sf)
     changed = rag.stale_chunks(cut, current_hashes(spark, sf)).select("doc_id").distinct()
     batch = rag.reembed_batch(cut, changed, EMBEDDING_MODEL, ntz("2026-02-15 06:00:00"))
-    merged = rag.reembed(chunk_embeddings(spark, sf), batch)
+    merged = rag.reembed(chunk_embeddings(spark, sf, cut), batch)
     return merged.select("chunk_id", "embedding_id", "embed_ts", "prompt_tokens", "cost_usd")
 
 
@@ -256,7 +263,8 @@ FROM sick JOIN (SELECT tenant_id, CAST(round(CAST(avg(top1_score) FILTER (WHERE
   CAST(round(CAST(avg(top1_score) FILTER (WHERE late) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS score_after FROM halves GROUP BY tenant_id) USING (tenant_id)
 WHERE zero_hit_rate > 0.25""")
 def incident_triage(spark, sf):
-    return alerts.triage(_quality(spark, sf), _freshness(spark, sf), _events(spark, sf))
+    events = _events(spark, sf)
+    return alerts.triage(marts.quality_kpi(events), _freshness(spark, sf), events)
 
 
 @query("""SELECT CASE WHEN age <= 7 THEN 'hot' WHEN age <= 20 THEN 'warm' ELSE 'cold' END AS tier, count(*) AS events,

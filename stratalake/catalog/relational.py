@@ -9,9 +9,10 @@ from stratalake.catalog.registry import Registry
 from stratalake.functions.measures import error_rate, held, rounded, share
 from stratalake.functions.payload import parse_payload
 from stratalake.operators.dedup import first_per_key, top_k_per_key
+from stratalake.operators.joins import null_safe_join
 from stratalake.operators.percentiles import exact_percentiles
 from stratalake.plans.llm_calls import contract_checks, daily_metrics, price_list, rejected_calls, silver_calls
-from stratalake.sources.parquet import load
+from stratalake.sources.parquet import load, staged
 
 registry = Registry()
 query = registry.query
@@ -60,19 +61,24 @@ def _rounded_daily(df):
     )
 
 
+def _silver(spark, sf):
+    """Silver as the table that the Gold job reads."""
+    return staged(silver_calls(raw_calls(spark, sf)), "silver")
+
+
 @query(_daily_sql(""))
 def gold_daily_metrics(spark, sf):
-    return _rounded_daily(daily_metrics(silver_calls(raw_calls(spark, sf)), price_list(spark)))
+    return _rounded_daily(daily_metrics(_silver(spark, sf), price_list(spark)))
 
 
 @query(_daily_sql("LEFT"))
 def gold_daily_metrics_unlisted(spark, sf):
-    return _rounded_daily(daily_metrics(silver_calls(raw_calls(spark, sf)), price_list(spark), how="left"))
+    return _rounded_daily(daily_metrics(_silver(spark, sf), price_list(spark), how="left"))
 
 
 @query()
 def gold_daily_metrics_approx(spark, sf):
-    return _rounded_daily(daily_metrics(silver_calls(raw_calls(spark, sf)), price_list(spark), exact=False))
+    return _rounded_daily(daily_metrics(_silver(spark, sf), price_list(spark), exact=False))
 
 
 @query(f"""WITH {CALLS_SQL}, gold AS (SELECT DISTINCT date, model FROM silver JOIN prices USING (model)),
@@ -83,8 +89,7 @@ SELECT 'silver smaller than bronze' AS "check", silver AS seen, silver < bronze
 UNION ALL SELECT 'enough dates', dates, dates >= 7 FROM f
 UNION ALL SELECT 'dates times models', gold, gold = dates * models FROM f""")
 def medallion_contract(spark, sf):
-    raw = raw_calls(spark, sf)
-    silver = silver_calls(raw)
+    raw, silver = raw_calls(spark, sf), _silver(spark, sf)
     return contract_checks(raw, silver, daily_metrics(silver, price_list(spark), exact=False))
 
 
@@ -183,7 +188,7 @@ def lineitem_summary(spark, sf):
         rounded(F.avg("l_discount"), 4).alias("avg_discount"),
     )
     points = exact_percentiles(lines, keys, "l_extendedprice", {"p50_price": 0.5, "p95_price": 0.95})
-    return totals.join(points, keys).select(
+    return null_safe_join(totals, points, keys, "left").select(
         *totals.columns, rounded("p50_price", 4).alias("p50_price"), rounded("p95_price", 4).alias("p95_price")
     )
 

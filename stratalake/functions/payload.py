@@ -12,12 +12,15 @@ CORRUPT = "_corrupt"
 def parse_payload(df: DataFrame, column: str, schema: str | T.StructType, into: str = "payload") -> DataFrame:
     """Parse JSON text once into a struct (O-1, O-2).
 
-    Text that is malformed or has a field of the wrong type is kept in ``<into>._corrupt``.
+    Text that is malformed or has a field of the wrong type is kept in ``<into>._corrupt``. The struct comes
+    out of a generator of one row: as a plain column, filters on its fields would be pushed below it and
+    parse the text again for every field they name.
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     with_corrupt = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.withColumn(into, F.from_json(F.col(column), with_corrupt, options))
+    parsed = F.from_json(F.col(column), with_corrupt, options)
+    return df.select("*", F.explode(F.array(parsed)).alias(into))
 
 
 def is_corrupt(into: str = "payload") -> Column:

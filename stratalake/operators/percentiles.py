@@ -1,13 +1,13 @@
-"""Exact interpolated percentiles that never gather a group in one task.
+"""Exact interpolated percentiles that never gather a large group in one task.
 
-The built-in ``percentile`` holds every distinct value of a group in one buffer. That is right where
-the values come from a small domain and wrong where a group may hold billions of different values.
-Here the value of a wanted rank is found by narrowing:
+The built-in ``percentile`` holds every distinct value of a group in one buffer. So equal values are counted
+first (shuffled on group *and* value, which spreads a hot group) and the counts are staged. If no group
+has more than ``in_memory`` distinct values, the built-in finishes on the counts. Otherwise the value of a
+wanted rank is found by narrowing:
 
-1. equal values are counted (shuffle on group *and* value, so a hot group is spread);
-2. values fall into logarithmic bins, whose number is bounded by the range of a double;
-3. the bin that holds the wanted rank is cut into equal cells and the cell that holds it is picked;
-4. only the values of that cell are ordered.
+1. values fall into logarithmic bins, whose number is bounded by the range of a double;
+2. the bin that holds the wanted rank is cut into equal cells and the cell that holds it is picked;
+3. only the values of that cell are ordered.
 
 Every step is a partial aggregation or an equi join with the few picked bins. Nothing is sampled.
 """
@@ -20,11 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.operators.joins import null_safe_join
+from stratalake.sources.parquet import staged
 
 # bins per unit of log1p(|value|): a bin spans about 0.1 % of the value
 _BINS = 1024
 _CELLS = 4096
 _TOP_BIN = 2_000_000
+# distinct values of one group that may share a buffer
+IN_MEMORY = 100_000
 
 
 def _bin(v: Column) -> Column:
@@ -44,17 +47,29 @@ def exact_percentiles(
     keys: Sequence[str],
     value: str,
     wanted: Mapping[str, float],
+    in_memory: int = IN_MEMORY,
 ) -> DataFrame:
-    """One row per group with ``keys`` and one double per entry of ``wanted`` (name → fraction)."""
+    """One row per group with ``keys`` and one double per entry of ``wanted`` (name → fraction) (A-8).
+
+    Runs a job: the counted values are written to the shared folder, so the input is read once.
+    """
     by = list(keys) or ["_all"]
     v = F.col(value).cast("double")
     named = df.where(v.isNotNull()).select(
         *(keys or [F.lit(1).alias("_all")]), (v + F.lit(0.0)).alias("_v")
     )
-    counted = (
-        named.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_bin", _bin(F.col("_v")))
-    )
+    counted = staged(named.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")), "counted")
+    largest = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= in_memory:
+        points = [F.percentile("_v", float(p), F.col("_n")).alias(name) for name, p in wanted.items()]
+        out = counted.groupBy(*by).agg(*points)
+    else:
+        out = _narrowed(counted, by, wanted)
+    return out if keys else out.drop("_all")
 
+
+def _narrowed(counted: DataFrame, by: Sequence[str], wanted: Mapping[str, float]) -> DataFrame:
+    counted = counted.withColumn("_bin", _bin(F.col("_v")))
     bins = counted.groupBy(*by, "_bin").agg(
         F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
@@ -124,8 +139,7 @@ def exact_percentiles(
         low, high, frac = pick(name, False, "_v"), pick(name, True, "_v"), pick(name, False, "_frac")
         return F.when(frac == 0, low).otherwise(low * (1 - frac) + high * frac)
 
-    out = found.groupBy(*by).agg(*[interpolated(name).alias(name) for name in wanted])
-    return out if keys else out.drop("_all")
+    return found.groupBy(*by).agg(*[interpolated(name).alias(name) for name in wanted])
 
 
 def percentile_columns(value: str, wanted: Mapping[str, float], exact: bool = True) -> list[Column]:

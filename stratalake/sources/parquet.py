@@ -4,12 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.session import fresh_path
+
 
 def load(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Table ``name`` below ``base``; columns and filters are pushed into the scan by Catalyst."""
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
+def spread_small(df: DataFrame, by: str) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores; leave any larger one alone.
+
+    For row-wise work that costs more than moving the rows, such as parsing or cutting text. A table of
+    real size has more splits than cores, so it is never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, by) if df.rdd.getNumPartitions() < cores else df
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, where several plans start from it."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` rows for a look at a table (S12)."""
     return df.limit(n)

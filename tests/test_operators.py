@@ -33,8 +33,9 @@ def interpolated(values, p):
     return values[lo] * (1 - (pos - lo)) + values[hi] * (pos - lo)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_percentiles_match_brute_force(spark, seed):
+@pytest.mark.parametrize("in_memory", [0, 100_000])
+@pytest.mark.parametrize("seed", range(2))
+def test_percentiles_match_brute_force(spark, seed, in_memory):
     rnd = random.Random(seed)
     data = []
     for g in ("a", "b", None):
@@ -47,7 +48,7 @@ def test_percentiles_match_brute_force(spark, seed):
     data += [("hot", 7.25)] * 2000 + [("hot", 1.0), ("hot", 100.0)]
     df = spark.createDataFrame(data, "g string, v double")
     wanted = {"lo": 0.0, "p25": 0.25, "p50": 0.5, "p95": 0.95, "hi": 1.0}
-    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", wanted).collect()}
+    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", wanted, in_memory).collect()}
     assert set(got) == {"a", "b", None, "hot"}
     for g, r in got.items():
         values = [v for k, v in data if k == g]
@@ -58,7 +59,7 @@ def test_percentiles_match_brute_force(spark, seed):
 def test_percentiles_of_close_values_and_infinities(spark):
     values = [1.0 + i * 1e-12 for i in range(999)] + [float("inf"), float("-inf")]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    r = exact_percentiles(df, [], "v", {"p50": 0.5, "hi": 1.0, "lo": 0.0}).first()
+    r = exact_percentiles(df, [], "v", {"p50": 0.5, "hi": 1.0, "lo": 0.0}, in_memory=0).first()
     assert r["p50"] == interpolated(values, 0.5)
     assert r["hi"] == float("inf") and r["lo"] == float("-inf")
 
