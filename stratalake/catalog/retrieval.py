@@ -16,7 +16,16 @@ from stratalake.catalog.registry import Registry
 from stratalake.functions.measures import rounded
 from stratalake.operators.dedup import first_per_key
 from stratalake.operators.knn import centroids, knn
-from stratalake.plans.rag import eval_update, hit_stats, pending_chunks, ranked_hits, retrieval_events
+from stratalake.plans.rag import (
+    eval_update,
+    hit_stats,
+    pending_chunks,
+    ranked_hits,
+    retrieval_events,
+    vectors_of,
+)
+from stratalake.session import fresh_path
+from stratalake.sources import snapshots
 from stratalake.sources.parquet import load
 
 registry = Registry()
@@ -39,19 +48,35 @@ def knn_top5(spark, sf):
     return knn(vectors, vectors, 5, exclude_self=True).withColumn("score", rounded("score", 4))
 
 
-@query(f"""WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+CENTROID_SQL = f"""WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
 parts AS (SELECT label, unnest(v) AS x, unnest(range(len(v))) AS dim FROM e),
 means AS (SELECT label, dim, avg(x) AS x FROM parts GROUP BY ALL),
 c AS (SELECT CAST(label AS BIGINT) AS id, list(x ORDER BY dim) AS v FROM means GROUP BY label),
 p AS (SELECT a.id AS query_id, b.vec_id, CAST(round(CAST({_SCORE} AS DECIMAL(38, 12)), 6) AS DOUBLE) AS score FROM c a CROSS JOIN e b)
 SELECT query_id, vec_id, CAST(round(CAST(score AS DECIMAL(38, 10)), 4) AS DOUBLE) AS score, rank FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p) WHERE rank <= 5""")
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p) WHERE rank <= 5"""
+
+
+@query(CENTROID_SQL)
 def knn_label_centroids(spark, sf):
     vectors = _vectors(spark, sf)
     found = knn(centroids(vectors, "label"), vectors.select("id", "vector"), 5)
     return found.withColumn("score", rounded("score", 4))
 
 
+@query(CENTROID_SQL)
+def knn_as_of_version(spark, sf):
+    """Search in an old version after a model upgrade replaced every vector (C-6)."""
+    path = fresh_path(spark, "vectors")
+    first = _vectors(spark, sf).withColumn("embedding_model", F.lit("v1"))
+    snapshots.write_table(first, path)
+    upgraded = first.withColumn("vector", F.reverse("vector")).withColumn("embedding_model", F.lit("v2"))
+    snapshots.write_table(upgraded, path)
+    cited = vectors_of(snapshots.read_table(spark, path, 0), "v1")
+    found = knn(centroids(cited, "label"), cited.select("id", "vector"), 5)
+    return found.withColumn("score", rounded("score", 4))
+
+
 @query(f"""WITH {RETRIEVAL_SQL} SELECT event_id, query_id, user_id, tenant_id, query_text_hash, query_modality, top1_chunk_id,
   top1_score, is_zero_hit, latency_ms, event_ts, event_date, bronze_log_id, bronze_kafka_offset FROM retrieval""")
 def retrieval_event_rows(spark, sf):

@@ -4,11 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratalake.catalog.derive import CALLS_SQL, RETRIEVAL_SQL, raw_calls, raw_retrieval_logs
+from stratalake.catalog.derive import (
+    CALLS_SQL,
+    CHUNK_OVERLAP,
+    CHUNK_SIZE,
+    DOCS_SQL,
+    RETRIEVAL_SQL,
+    raw_calls,
+    raw_documents,
+    raw_retrieval_logs,
+)
 from stratalake.catalog.registry import Registry
 from stratalake.operators.dedup import first_per_key
 from stratalake.plans.llm_calls import silver_calls
-from stratalake.plans.rag import retrieval_events
+from stratalake.plans.rag import document_chunks, retrieval_events
 from stratalake.session import fresh_path
 from stratalake.sources import snapshots
 from stratalake.sources.landing import landing_stream, with_event_time
@@ -125,3 +134,22 @@ def stream_latest_state(spark, sf):
     )
     jobs.run_once(run)
     return snapshots.read_table(spark, path)
+
+
+@query(f"WITH {DOCS_SQL} SELECT chunk_id, doc_id, doc_version_hash, chunk_index, chunk_text, char_count, token_estimate FROM chunks")
+def stream_document_chunks(spark, sf):
+    """Documents land in files and are cut into chunks batch by batch."""
+    docs = raw_documents(spark, sf)
+    path = fresh_path(spark, "chunks")
+    jobs.create_empty(document_chunks(docs, CHUNK_SIZE, CHUNK_OVERLAP, "run-1"), path)
+    run = jobs.upsert_stream(
+        document_chunks(_landed(spark, docs), CHUNK_SIZE, CHUNK_OVERLAP, "run-1"),
+        path,
+        fresh_path(spark, "checkpoint"),
+        ["chunk_id"],
+        "document_chunks",
+        trigger=jobs.ONCE,
+    )
+    jobs.run_once(run)
+    columns = "chunk_id doc_id doc_version_hash chunk_index chunk_text char_count token_estimate".split()
+    return snapshots.read_table(spark, path).select(*columns)

@@ -129,7 +129,7 @@ def append_evolved(spark, sf):
 
 
 @query("""SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN 'O' ELSE o_orderstatus END AS o_orderstatus, o_totalprice,
-  CAST(o_orderdate AS DATE) AS o_date, year(o_orderdate) AS o_year FROM orders""")
+  CAST(o_orderdate AS DATE) AS o_date, CAST(year(o_orderdate) AS INTEGER) AS o_year FROM orders""")
 def merge_into_partitions(spark, sf):
     """Upsert that touches the partitions of two years only."""
     path = fresh_path(spark, "orders")

@@ -21,49 +21,60 @@ def coalesce_to_size(df: DataFrame, files: int) -> DataFrame:
     return df.coalesce(files) if df.rdd.getNumPartitions() >= files else df.repartition(files)
 
 
-def cluster(df: DataFrame, cols: Sequence[str], files: int) -> DataFrame:
+def cluster(df: DataFrame, cols: Sequence[str], files: int, within: Sequence[str] = ()) -> DataFrame:
     """Range-partition and sort by one column (P-2) or by the Z-value of several (P-3).
 
-    A hash of the row follows the clustering value in the range key, so a value that holds a third of all
-    rows is spread over several files and still stays together in range.
+    ``within`` names the partition columns of the table: they lead the range key, so that a task writes
+    to few partitions. A hash of the row ends the key, so a value that holds a third of all rows is spread
+    over several files and still stays together in range.
     """
-    if len(cols) == 1:
-        return df.repartitionByRange(files, F.col(cols[0]), F.xxhash64(*df.columns)).sortWithinPartitions(cols[0])
-    z = z_value(df, cols)
-    marked = df.withColumn("_z", z)
-    spread = marked.repartitionByRange(files, F.col("_z"), F.xxhash64(*df.columns))
-    return spread.sortWithinPartitions("_z").drop("_z")
+    order = F.col(cols[0]) if len(cols) == 1 else z_value(df, cols)
+    marked = df.withColumn("_z", order)
+    spread = marked.repartitionByRange(files, *within, "_z", F.xxhash64(*df.columns))
+    return spread.sortWithinPartitions(*within, "_z").drop("_z")
 
 
 def z_value(df: DataFrame, cols: Sequence[str], bits: int = _BITS) -> Column:
     """Interleaved bits of the rank bucket of each column.
 
     Buckets are cut at approximate quantiles, which balances them and moves at most ``2**bits`` numbers
-    per column through the driver. They steer only where rows are stored, never which rows exist.
+    per column through the driver. They steer only where rows are stored, never which rows exist. One
+    pass finds the cuts of all columns; text columns need one more for their common prefixes.
     """
-    buckets = [_rank_bucket(df, c, bits) for c in cols]
+    numbers = _as_numbers(df, cols)
+    steps = [i / (1 << bits) for i in range(1, 1 << bits)]
+    cuts = df.agg(*[F.percentile_approx(n, steps, 10_000) for n in numbers]).first()
     z = F.lit(0).cast("long")
-    for bit in range(bits):
-        for i, b in enumerate(buckets):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(b, bit).bitwiseAND(F.lit(1).cast("long")), bit * len(cols) + i))
+    for i, (number, found) in enumerate(zip(numbers, cuts)):
+        bucket = _cuts_below(found or [], number)
+        for bit in range(bits):
+            one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("long"))
+            z = z.bitwiseOR(F.shiftleft(one, bit * len(cols) + i))
     return z
 
 
-def _rank_bucket(df: DataFrame, name: str, bits: int) -> Column:
-    number = _as_number(df, name)
-    steps = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = df.agg(F.percentile_approx(number, steps, 10_000).alias("cuts")).first().cuts or []
+def _cuts_below(cuts: Sequence[float], number: Column) -> Column:
     bounds = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]).cast("array<double>")
     return F.size(F.filter(bounds, lambda b: b < number)).cast("long")
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    """The column as a double that keeps its order; text by the six bytes after its common prefix."""
+def _as_numbers(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """Each column as a double that keeps its order; text by the six bytes after its common prefix."""
+    texts = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
+    ends = df.agg(*[e for c in texts for e in (F.min(c), F.max(c))]).first() if texts else ()
+    prefix = {c: _shared(ends[2 * i], ends[2 * i + 1]) for i, c in enumerate(texts)}
+    return [_as_number(df, c, prefix.get(c, 0)) for c in cols]
+
+
+def _shared(low: str | None, high: str | None) -> int:
+    """Bytes that all values between ``low`` and ``high`` start with."""
+    return len(os.path.commonprefix([(low or "").encode(), (high or "").encode()]))
+
+
+def _as_number(df: DataFrame, name: str, skip: int) -> Column:
     kind = df.schema[name].dataType
     col = F.col(name)
     if isinstance(kind, T.StringType):
-        ends = df.agg(F.min(name).alias("lo"), F.max(name).alias("hi")).first()
-        skip = len(os.path.commonprefix([(ends.lo or "").encode(), (ends.hi or "").encode()]))
         raw = F.expr(f"substring(encode(`{name}`, 'UTF-8'), {skip + 1}, 6)")
         return F.conv(F.rpad(F.hex(raw), 12, "0"), 16, 10).cast("double")
     if isinstance(kind, T.DateType):

@@ -210,3 +210,8 @@ def reembed_counts(history: DataFrame, chunks: DataFrame) -> DataFrame:
         .groupBy("embed_date", "tenant_id", "embedding_model", "modality")
         .agg(F.count(F.lit(1)).alias("reembed_count"))
     )
+
+
+def vectors_of(embeddings: DataFrame, model: str) -> DataFrame:
+    """Vectors of one model version; read an old table version to reproduce an old result (C-6)."""
+    return embeddings.where(F.col("embedding_model") == model)

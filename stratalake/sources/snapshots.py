@@ -32,6 +32,7 @@ COMMITS = T.StructType(
         T.StructField("dirs", T.ArrayType(T.StringType())),
         T.StructField("metrics", T.MapType(T.StringType(), T.LongType())),
         T.StructField("batch_id", T.StringType()),
+        T.StructField("ranged", T.ArrayType(T.StringType())),
     ]
 )
 
@@ -82,17 +83,18 @@ def _write_commit(
     dirs: Sequence[str],
     metrics: Mapping[str, int] | None = None,
     batch_id: str | None = None,
-    ts: datetime | None = None,
+    ranged: Sequence[str] = (),
 ) -> int:
     row = (
         version,
-        ts or datetime.now(timezone.utc),
+        datetime.now(timezone.utc),
         operation,
         json.dumps(_nullable(schema.jsonValue())) if schema is not None else None,
         list(partition_by),
         list(dirs),
         dict(metrics or {}),
         batch_id,
+        list(ranged),
     )
     spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").json(f"{path}/commits")
     return version
@@ -144,21 +146,28 @@ def _write_files(
     A partitioned write is rebalanced on its partition columns: adaptive execution splits a partition
     value that holds most rows and packs small ones, so files come out even.
     """
-    target = f"{path}/data/snap={version}"
     if files:
         df = df.repartition(files)
     elif partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    return _write_as_is(df, path, version, partition_by)
+
+
+def _write_as_is(df: DataFrame, path: str, version: int, partition_by: Sequence[str]) -> list[str]:
+    target = f"{path}/data/snap={version}"
     writer = df.write.mode("overwrite")  # a folder of this number can only stem from a failed write
     if not partition_by:
         writer.parquet(target)
         return [f"snap={version}"]
     writer.partitionBy(*partition_by).parquet(target)
-    spark = df.sparkSession
     body = T.StructType([f for f in df.schema if f.name not in partition_by])
-    folder = F.regexp_extract("_metadata.file_path", r"/data/(snap=[0-9]+(?:/[^/]+)*)/[^/]+$", 1)
-    listed = spark.read.schema(body).parquet(target).select(folder.alias("d")).distinct()
-    return sorted(_unescape(r.d) for r in listed.collect())
+    listed = df.sparkSession.read.schema(body).parquet(target).select(_folder("_metadata.file_path").alias("d"))
+    return sorted(_unescape(r.d) for r in listed.distinct().collect())
+
+
+def _folder(file: str) -> Column:
+    """Folder of a data file, relative to ``data``."""
+    return F.regexp_extract(file, r"/data/(snap=[0-9]+(?:/[^/]+)*)/[^/]+$", 1)
 
 
 def _unescape(folder: str) -> str:
@@ -297,8 +306,7 @@ def _touched(rows: DataFrame, head: Row) -> tuple[list[str], list[str]]:
 
     Only folder names reach the driver, at most one per partition and snapshot.
     """
-    folder = F.regexp_extract("_file", r"/data/(snap=[0-9]+(?:/[^/]+)*)/[^/]+$", 1)
-    hit = {_unescape(r.d) for r in rows.select(folder.alias("d")).distinct().collect()}
+    hit = {_unescape(r.d) for r in rows.select(_folder("_file").alias("d")).distinct().collect()}
     return [d for d in head.dirs if d in hit], [d for d in head.dirs if d not in hit]
 
 
@@ -332,11 +340,11 @@ def merge_table(
     staged = spark.read.schema(source.schema).parquet(staging)
 
     keys = _read_dirs(spark, path, schema, head.dirs)
-    if head.dirs:
+    if len(head.dirs) > 1:
         keys = keys.select(*on, F.col("_metadata.file_path").alias("_file"))
         rewrite, keep = _touched(keys.join(staged.select(*on), list(on), "left_semi"), head)
     else:
-        rewrite, keep = [], []
+        rewrite, keep = head.dirs, []
     # every matched key lives in a rewritten folder, so a source row without a match there has none at all
     base = _read_dirs(spark, path, schema, rewrite).select(*schema.names)
     merged = merge(base, staged, on, keep_action=True, **options)
@@ -417,42 +425,49 @@ def optimize(
     head = _existing(spark, path)
     stats = table_stats(spark, path).first()
     n = files or max(1, -(-stats.bytes // target_bytes))
-    df = read_table(spark, path)
-    df = cluster(df, cluster_by, n) if cluster_by else coalesce_to_size(df, n)
+    df = _read_dirs(spark, path, _schema(head), head.dirs).select(*_schema(head).names)
+    df = cluster(df, cluster_by, n, head.partition_by) if cluster_by else coalesce_to_size(df, n)
     version = head.version + 1
-    target = f"{path}/data/snap={version}"
-    writer = df.write.mode("overwrite")
-    if head.partition_by:
+    if head.partition_by and not cluster_by:
         dirs = _write_files(df, path, version, head.partition_by, None)
     else:
-        writer.parquet(target)
-        dirs = [f"snap={version}"]
+        dirs = _write_as_is(df, path, version, head.partition_by)
     if cluster_by:
         ranges = file_stats(_read_dirs(spark, path, _schema(head), dirs), cluster_by)
         ranges.coalesce(1).write.mode("overwrite").parquet(f"{path}/ranges/version={version}")
     return _write_commit(
-        spark, path, version, "OPTIMIZE", _schema(head), head.partition_by, dirs, {"files_before": stats.files}
+        spark,
+        path,
+        version,
+        "OPTIMIZE",
+        _schema(head),
+        head.partition_by,
+        dirs,
+        {"files_before": stats.files},
+        ranged=cluster_by,
     )
 
 
+def _file_ranges(spark: SparkSession, path: str, cols: Sequence[str], row: Row) -> DataFrame:
+    schema = _schema(row)
+    if not set(cols) <= set(row.ranged or []):
+        return file_stats(_read_dirs(spark, path, schema, row.dirs), cols)
+    fields = [T.StructField("file", T.StringType()), T.StructField("rows", T.LongType())]
+    for c in cols:
+        fields += [T.StructField(f"{end}_{c}", schema[c].dataType) for end in ("min", "max")]
+    return spark.read.schema(T.StructType(fields)).parquet(f"{path}/ranges/version={row.version}")
+
+
 def file_ranges(spark: SparkSession, path: str, cols: Sequence[str], version: int | None = None) -> DataFrame:
     """Rows and min/max of ``cols`` per data file of a version (P-4); kept ranges are reused."""
-    row = _existing(spark, path, version)
-    try:
-        kept = spark.read.parquet(f"{path}/ranges/version={row.version}")
-        if all(f"min_{c}" in kept.columns for c in cols):
-            return kept
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-    return file_stats(_read_dirs(spark, path, _schema(row), row.dirs), cols)
+    return _file_ranges(spark, path, cols, _existing(spark, path, version))
 
 
 def read_pruned(spark: SparkSession, path: str, column: str, value) -> DataFrame:
     """Rows with ``column = value``, opening only the files whose range can hold it (P-6)."""
     row = _existing(spark, path)
     schema = _schema(row)
-    may = file_ranges(spark, path, [column]).where(
+    may = _file_ranges(spark, path, [column], row).where(
         (F.col(f"min_{column}") <= F.lit(value)) & (F.col(f"max_{column}") >= F.lit(value))
     )
     files = [_unescape(r.file) for r in may.select("file").collect()]

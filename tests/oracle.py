@@ -40,10 +40,24 @@ def canonical(columns, rows):
     return sorted(columns), sorted(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
+SPARK_NAMES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
+}
+
+
+def _type(name: str) -> str:
+    return SPARK_NAMES.get(name, name.upper())
+
+
 def compare(df, con, sql: str) -> str:
     """Empty text if both sides agree, else what differs."""
     got_cols, got = canonical(df.columns, df.collect())
     rel = con.sql(sql)
+    types = {c: _type(t) for c, t in df.dtypes}
+    wanted = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    if types != wanted:
+        return f"types {sorted(types.items() ^ wanted.items())}"
     want_cols, want = canonical(rel.columns, rel.fetchall())
     if got_cols != want_cols:
         return f"columns {got_cols} != {want_cols}"

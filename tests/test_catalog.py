@@ -23,6 +23,8 @@ def test_every_oracle_has_a_query():
 @pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, duck, name):
     df = all_queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     sql = all_oracles().get(name)
     if sql is None:
         assert df.count() > 0
