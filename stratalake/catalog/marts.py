@@ -17,6 +17,7 @@ from stratalake.catalog.derive import (
 )
 from stratalake.catalog.registry import Registry
 from stratalake.functions.measures import rounded
+from stratalake.operators.impact import downstream
 from stratalake.plans import alerts, marts, rag
 from stratalake.plans.settings import EMBEDDING_MODEL
 from stratalake.sources.parquet import load, staged
@@ -275,3 +276,29 @@ def age_tiers(spark, sf):
     return load(spark, sf, "events").groupBy(tier.alias("tier")).agg(
         F.count(F.lit(1)).alias("events"), F.count_distinct(day).alias("days")
     )
+
+
+@query("""WITH e AS (
+  SELECT 'supplier-' || l_suppkey AS source, 'order-' || l_orderkey AS target FROM lineitem
+  UNION SELECT 'order-' || o_orderkey, 'customer-' || o_custkey FROM orders
+  UNION SELECT 'customer-' || c_custkey, 'segment-' || c_mktsegment FROM customer),
+d0 AS (SELECT 'supplier-' || s_suppkey AS node FROM supplier WHERE s_acctbal < 0),
+d1 AS (SELECT DISTINCT target AS node FROM e WHERE source IN (SELECT node FROM d0)),
+d2 AS (SELECT DISTINCT target AS node FROM e WHERE source IN (SELECT node FROM d1)),
+d3 AS (SELECT DISTINCT target AS node FROM e WHERE source IN (SELECT node FROM d2))
+SELECT node, 0 AS depth FROM d0 UNION ALL SELECT node, 1 FROM d1 UNION ALL SELECT node, 2 FROM d2 UNION ALL SELECT node, 3 FROM d3""")
+def impact_report(spark, sf):
+    """What hangs on the suppliers in debt: their orders, those customers, their segments."""
+
+    def edges(name, kind, key, to, other):
+        return load(spark, sf, name).select(
+            F.concat_ws("-", F.lit(kind), key).alias("source"), F.concat_ws("-", F.lit(to), other).alias("target")
+        )
+
+    graph = (
+        edges("lineitem", "supplier", "l_suppkey", "order", "l_orderkey")
+        .union(edges("orders", "order", "o_orderkey", "customer", "o_custkey"))
+        .union(edges("customer", "customer", "c_custkey", "segment", "c_mktsegment"))
+    )
+    start = load(spark, sf, "supplier").where("s_acctbal < 0")
+    return downstream(graph, start.select(F.concat_ws("-", F.lit("supplier"), "s_suppkey").alias("node")))

@@ -187,7 +187,9 @@ def lineitem_summary(spark, sf):
         rounded(F.sum(net), 2).cast("double").alias("revenue"),
         rounded(F.avg("l_discount"), 4).alias("avg_discount"),
     )
-    points = exact_percentiles(lines, keys, "l_extendedprice", {"p50_price": 0.5, "p95_price": 0.95})
+    points = exact_percentiles(
+        lines, keys, {"p50_price": ("l_extendedprice", 0.5), "p95_price": ("l_extendedprice", 0.95)}
+    )
     return null_safe_join(totals, points, keys, "left").select(
         *totals.columns, rounded("p50_price", 4).alias("p50_price"), rounded("p95_price", 4).alias("p95_price")
     )
@@ -196,7 +198,9 @@ def lineitem_summary(spark, sf):
 @query("""SELECT CAST(round(CAST(quantile_cont(value, 0.25) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS q1, CAST(round(CAST(quantile_cont(value, 0.5) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS q2,
   CAST(round(CAST(quantile_cont(value, 0.75) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS q3 FROM events""")
 def global_percentiles(spark, sf):
-    out = exact_percentiles(load(spark, sf, "events"), [], "value", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
+    out = exact_percentiles(
+        load(spark, sf, "events"), [], {"q1": ("value", 0.25), "q2": ("value", 0.5), "q3": ("value", 0.75)}
+    )
     return out.select(*[rounded(c, 4).alias(c) for c in ("q1", "q2", "q3")])
 
 

@@ -6,9 +6,11 @@ from datetime import timedelta, timezone
 
 from pyspark.sql import functions as F
 
+from stratalake.catalog.derive import raw_documents, raw_retrieval_logs
 from stratalake.catalog.registry import Registry
 from stratalake.functions.measures import rounded
 from stratalake.functions.vectors import l2_norm
+from stratalake.plans.rag import ingest_bronze
 from stratalake.session import fresh_path
 from stratalake.sources import snapshots
 from stratalake.sources.parquet import load
@@ -117,6 +119,19 @@ def active_file_rows(spark, sf):
     return files.groupBy(nation.alias("c_nationkey")).agg(F.sum("rows").alias("rows"))
 
 
+@query("""SELECT 'raw_documents' AS "table", CAST(TIMESTAMP '2026-01-01' + to_minutes(doc_id * 37 % 43200) AS DATE) AS ingest_date, count(*) AS rows
+FROM documents GROUP BY 2 UNION ALL SELECT 'raw_retrieval_logs', CAST(ts AS DATE), count(*) FROM events GROUP BY 2""")
+def bronze_ingest(spark, sf):
+    paths = ingest_bronze(raw_documents(spark, sf), raw_retrieval_logs(spark, sf), fresh_path(spark, "bronze"))
+    parts = [
+        snapshots.read_table(spark, path)
+        .groupBy(F.lit(name).alias("table"), "ingest_date")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        for name, path in paths.items()
+    ]
+    return parts[0].union(parts[1])
+
+
 @query("""SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, NULL::VARCHAR AS tier FROM customer WHERE c_acctbal <= 5000
 UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, 'gold' FROM customer WHERE c_acctbal > 5000""")
 def append_evolved(spark, sf):

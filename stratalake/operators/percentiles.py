@@ -45,30 +45,34 @@ def _bin(v: Column) -> Column:
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],
-    value: str,
-    wanted: Mapping[str, float],
+    wanted: Mapping[str, tuple[str, float]],
     in_memory: int = IN_MEMORY,
 ) -> DataFrame:
-    """One row per group with ``keys`` and one double per entry of ``wanted`` (name → fraction) (A-8).
+    """One row per group with ``keys`` and one double per entry of ``wanted`` (A-8).
 
-    Runs a job: the counted values are written to the shared folder, so the input is read once.
+    ``wanted`` maps a result name to a numeric column and a fraction. NULLs are left out; a group without
+    any value has no row. Runs a job: the counted values are written to the shared folder, so the input
+    is read once whatever number of columns is asked for.
     """
+    columns = sorted({c for c, _ in wanted.values()})
+    values = F.array(*[F.struct(F.lit(c).alias("_col"), (F.col(c).cast("double") + 0.0).alias("_v")) for c in columns])
     by = list(keys) or ["_all"]
-    v = F.col(value).cast("double")
-    named = df.where(v.isNotNull()).select(
-        *(keys or [F.lit(1).alias("_all")]), (v + F.lit(0.0)).alias("_v")
-    )
-    counted = staged(named.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")), "counted")
-    largest = counted.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= in_memory:
-        points = [F.percentile("_v", float(p), F.col("_n")).alias(name) for name, p in wanted.items()]
+    tall = df.select(*(keys or [F.lit(1).alias("_all")]), F.inline(values)).where(F.col("_v").isNotNull())
+    counted = staged(tall.groupBy(*by, "_col", "_v").agg(F.count(F.lit(1)).alias("_n")), "counted")
+    sizes = counted.groupBy(*by, "_col").agg(F.count(F.lit(1)).alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= in_memory:
+        points = [
+            F.percentile(F.when(F.col("_col") == c, F.col("_v")), float(p), F.col("_n")).alias(name)
+            for name, (c, p) in wanted.items()
+        ]
         out = counted.groupBy(*by).agg(*points)
     else:
         out = _narrowed(counted, by, wanted)
     return out if keys else out.drop("_all")
 
 
-def _narrowed(counted: DataFrame, by: Sequence[str], wanted: Mapping[str, float]) -> DataFrame:
+def _narrowed(counted: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
+    by = [*keys, "_col"]
     counted = counted.withColumn("_bin", _bin(F.col("_v")))
     bins = counted.groupBy(*by, "_bin").agg(
         F.sum("_n").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
@@ -79,8 +83,8 @@ def _narrowed(counted: DataFrame, by: Sequence[str], wanted: Mapping[str, float]
 
     asks = F.array(
         *[
-            F.struct(F.lit(name).alias("name"), F.lit(float(p)).alias("p"), F.lit(up).alias("up"))
-            for name, p in wanted.items()
+            F.struct(F.lit(name).alias("name"), F.lit(c).alias("col"), F.lit(float(p)).alias("p"), F.lit(up).alias("up"))
+            for name, (c, p) in wanted.items()
             for up in (False, True)
         ]
     )
@@ -90,6 +94,7 @@ def _narrowed(counted: DataFrame, by: Sequence[str], wanted: Mapping[str, float]
     ask_key = ["_name", "_up"]
     picked = (
         bins.withColumn("_ask", F.explode(asks))
+        .where(F.col("_ask.col") == F.col("_col"))
         .withColumn("_rank", rank)
         .where((F.col("_rank") >= start) & (F.col("_rank") < F.col("_end")))
         .select(
@@ -139,7 +144,7 @@ def _narrowed(counted: DataFrame, by: Sequence[str], wanted: Mapping[str, float]
         low, high, frac = pick(name, False, "_v"), pick(name, True, "_v"), pick(name, False, "_frac")
         return F.when(frac == 0, low).otherwise(low * (1 - frac) + high * frac)
 
-    return found.groupBy(*by).agg(*[interpolated(name).alias(name) for name in wanted])
+    return found.groupBy(*keys).agg(*[interpolated(name).alias(name) for name in wanted])
 
 
 def percentile_columns(value: str, wanted: Mapping[str, float], exact: bool = True) -> list[Column]:

@@ -84,7 +84,7 @@ def daily_metrics(calls: DataFrame, prices: DataFrame, how: str = "inner", exact
     listed = calls if how == "left" else calls.join(prices.select("model"), "model", "left_semi")
     if exact:
         totals = listed.groupBy(*keys).agg(*sums)
-        points = exact_percentiles(listed, keys, "latency_ms", _PERCENTILES)
+        points = exact_percentiles(listed, keys, {n: ("latency_ms", p) for n, p in _PERCENTILES.items()})
         totals = null_safe_join(totals, points, keys, "left")
     else:
         totals = listed.groupBy(*keys).agg(*sums, *percentile_columns("latency_ms", _PERCENTILES, exact=False))

@@ -70,10 +70,16 @@ def quality_kpi(events: DataFrame) -> DataFrame:
         rounded(F.avg("top1_score"), 4).alias("avg_top1_score"),
         rounded(F.avg("latency_ms"), 1).alias("avg_latency_ms"),
     )
-    scores = exact_percentiles(base, keys, "top1_score", {"p50_score": 0.50, "p95_score": 0.95})
-    latency = exact_percentiles(base, keys, "latency_ms", {"p95_latency_ms": 0.95})
-    for points in (scores, latency):
-        totals = null_safe_join(totals, points, keys, "left")
+    points = exact_percentiles(
+        base,
+        keys,
+        {
+            "p50_score": ("top1_score", 0.50),
+            "p95_score": ("top1_score", 0.95),
+            "p95_latency_ms": ("latency_ms", 0.95),
+        },
+    )
+    totals = null_safe_join(totals, points, keys, "left")
     return totals.select(
         *keys,
         "total_queries",

@@ -9,6 +9,7 @@ from stratalake.functions.payload import is_corrupt, parse_payload, text_array,
 from stratalake.functions.text import embedding_cost, fingerprint, token_estimate, windows_of
 from stratalake.operators.merge import merge
 from stratalake.plans.settings import EMBED_USD_PER_1K_TOKENS, ZERO_HIT_SCORE
+from stratalake.sources.snapshots import write_table
 
 RETRIEVAL_SCHEMA = (
     "event_id string, query_id string, user_id string, tenant_id string, query_text string, "
@@ -21,6 +22,14 @@ def _minutes_after(ts: str, minutes: Column) -> Column:
     return F.timestamp_add("MINUTE", minutes.cast("int"), F.col(ts))
 
 
+def ingest_bronze(docs: DataFrame, logs: DataFrame, root: str) -> dict[str, str]:
+    """Land documents and retrieval logs as they are, by ingest date; returns the table paths (M-4)."""
+    paths = {"raw_documents": f"{root}/raw_documents", "raw_retrieval_logs": f"{root}/raw_retrieval_logs"}
+    for df, path in zip((docs, logs), paths.values()):
+        write_table(df, path, mode="append", partition_by=["ingest_date"])
+    return paths
+
+
 def document_chunks(docs: DataFrame, size: int, overlap: int, run_id: str) -> DataFrame:
     """Overlapping text windows with the hash of the document version they were cut from (D-4, O-8).
 

@@ -46,12 +46,14 @@ def test_percentiles_match_brute_force(spark, seed, in_memory):
             data.append((g, v))
     # a hot group whose single value makes up most rows
     data += [("hot", 7.25)] * 2000 + [("hot", 1.0), ("hot", 100.0)]
-    df = spark.createDataFrame(data, "g string, v double")
+    df = spark.createDataFrame(data, "g string, v double").withColumn("w", -F.col("v"))
     wanted = {"lo": 0.0, "p25": 0.25, "p50": 0.5, "p95": 0.95, "hi": 1.0}
-    got = {r["g"]: r for r in exact_percentiles(df, ["g"], "v", wanted, in_memory).collect()}
+    asked = {n: ("v", p) for n, p in wanted.items()} | {"neg": ("w", 0.5)}
+    got = {r["g"]: r for r in exact_percentiles(df, ["g"], asked, in_memory).collect()}
     assert set(got) == {"a", "b", None, "hot"}
     for g, r in got.items():
         values = [v for k, v in data if k == g]
+        assert r["neg"] == pytest.approx(interpolated([-x for x in values], 0.5))
         for name, p in wanted.items():
             assert r[name] == pytest.approx(interpolated(values, p), rel=1e-12, abs=1e-12), (g, name)
 
@@ -59,7 +61,9 @@ def test_percentiles_match_brute_force(spark, seed, in_memory):
 def test_percentiles_of_close_values_and_infinities(spark):
     values = [1.0 + i * 1e-12 for i in range(999)] + [float("inf"), float("-inf")]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    r = exact_percentiles(df, [], "v", {"p50": 0.5, "hi": 1.0, "lo": 0.0}, in_memory=0).first()
+    r = exact_percentiles(
+        df, [], {"p50": ("v", 0.5), "hi": ("v", 1.0), "lo": ("v", 0.0)}, in_memory=0
+    ).first()
     assert r["p50"] == interpolated(values, 0.5)
     assert r["hi"] == float("inf") and r["lo"] == float("-inf")
 
