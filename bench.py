@@ -68,7 +68,7 @@ def table_timings(spark, runs: int) -> tuple[dict[str, float], dict[str, float]]
     wanted = (F.col("user_id") == 4242) & (F.col("kind") == "purchase")
     out["point_read_200_files"] = timed(lambda: snapshots.read_table(spark, path).where(wanted).collect(), runs)
     start = time.perf_counter()
-    snapshots.optimize(spark, path, 256 << 10, cluster_by=["user_id"], files=50)
+    snapshots.optimize(spark, path, 256 << 10, cluster_by=["user_id"], min_files=50)
     out["cluster_1m_rows"] = round(time.perf_counter() - start, 3)
     out["point_read_clustered"] = timed(
         lambda: snapshots.read_pruned(spark, path, "user_id", 4242).where(wanted).collect(), runs

@@ -14,13 +14,16 @@ from stratalake.sources.parquet import load
 registry = Registry()
 query = registry.query
 
+# the least number of files; larger tables get more
 SMALL_FILES = 200
 CLUSTERED_FILES = 50
 
 
 def _small_files(spark, sf):
+    """``events`` in 200 files, or in as many as the scan has splits where that is more."""
     path = fresh_path(spark, "small-files")
-    snapshots.write_table(load(spark, sf, "events"), path, files=SMALL_FILES)
+    events = load(spark, sf, "events")
+    snapshots.write_table(events, path, files=max(SMALL_FILES, events.rdd.getNumPartitions()))
     return path
 
 
@@ -34,7 +37,7 @@ def compacted_rows(spark, sf):
 @query("SELECT * FROM events")
 def clustered_rows(spark, sf):
     path = _small_files(spark, sf)
-    snapshots.optimize(spark, path, target_bytes=128 << 20, cluster_by=["user_id"], files=CLUSTERED_FILES)
+    snapshots.optimize(spark, path, target_bytes=128 << 20, cluster_by=["user_id"], min_files=CLUSTERED_FILES)
     return snapshots.read_table(spark, path)
 
 
@@ -43,14 +46,14 @@ def z_ordered_rows(spark, sf):
     path = fresh_path(spark, "lines")
     lines = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_shipdate")
     snapshots.write_table(lines, path)
-    snapshots.optimize(spark, path, 128 << 20, cluster_by=["l_partkey", "l_shipdate"], files=16)
+    snapshots.optimize(spark, path, 128 << 20, cluster_by=["l_partkey", "l_shipdate"], min_files=16)
     return snapshots.read_table(spark, path)
 
 
 @query("SELECT event_id, ts, value FROM events WHERE user_id = 42 AND event_type = 'purchase'")
 def pruned_point_read(spark, sf):
     path = _small_files(spark, sf)
-    snapshots.optimize(spark, path, 128 << 20, cluster_by=["user_id"], files=CLUSTERED_FILES)
+    snapshots.optimize(spark, path, 128 << 20, cluster_by=["user_id"], min_files=CLUSTERED_FILES)
     found = snapshots.read_pruned(spark, path, "user_id", 42)
     return found.where("event_type = 'purchase'").select("event_id", "ts", "value")
 
@@ -75,7 +78,7 @@ def pruning_gain(spark, sf):
         return gain.select(F.lit(layout).alias("layout"), "files", (F.col("ratio") >= 10).alias("tenfold"))
 
     before = measured("scattered")
-    snapshots.optimize(spark, path, 128 << 20, cluster_by=["event_id"], files=CLUSTERED_FILES)
+    snapshots.optimize(spark, path, 128 << 20, cluster_by=["event_id"], min_files=CLUSTERED_FILES)
     return before.union(measured("clustered"))
 
 

@@ -28,11 +28,16 @@ registry = Registry()
 query = registry.query
 
 
-def _landed(spark, df, files=4):
-    """Bronze rows written to a landing folder as ``files`` files, and the stream that picks them up."""
+def _landed(spark, df):
+    """Bronze rows written to a landing folder, and the stream that picks them up in two batches.
+
+    Four files at least; a larger table keeps the splits it has.
+    """
     path = fresh_path(spark, "landing")
-    df.repartition(files).write.parquet(path)
-    return landing_stream(spark, path, df.schema, files_per_trigger=2)
+    files = df.rdd.getNumPartitions()
+    spread = df if files >= 4 else df.repartition(4)
+    spread.write.parquet(path)
+    return landing_stream(spark, path, df.schema, files_per_trigger=max(2, -(-files // 2)))
 
 
 @query(f"WITH {CALLS_SQL} SELECT * FROM silver")

@@ -27,14 +27,16 @@ def neighbour(
     row = F.struct(*columns)
     if slice_of is None:
         return df.withColumn(into, shift(row).over(Window.partitionBy(*keys).orderBy(*order_by)))
-    sliced = df.withColumn("_slice", slice_of)
+    # one struct for key and slice: never NULL itself, so a plain equi join also matches NULL keys and
+    # finds the rows already partitioned by the window below it
+    sliced = df.withColumn("_slice", F.struct(*keys, slice_of.alias("_at")))
     edge = F.min_by if ahead else F.max_by
-    edges = sliced.groupBy(*keys, "_slice").agg(edge(row, F.struct(*order_by)).alias("_edge"))
-    across = shift("_edge").over(Window.partitionBy(*keys).orderBy("_slice"))
-    edges = edges.select(*[F.col(k).alias(f"_e_{k}") for k in [*keys, "_slice"]], across.alias("_carried"))
-    inner = shift(row).over(Window.partitionBy(*keys, "_slice").orderBy(*order_by))
-    same = [F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in [*keys, "_slice"]]
-    joined = sliced.withColumn("_near", inner).join(edges, same, "left")
+    edges = sliced.groupBy("_slice").agg(edge(row, F.struct(*order_by)).alias("_edge"))
+    by_key = [F.col("_slice")[k] for k in keys]
+    across = shift("_edge").over(Window.partitionBy(*by_key).orderBy(F.col("_slice")["_at"]))
+    edges = edges.select("_slice", across.alias("_carried"))
+    inner = shift(row).over(Window.partitionBy("_slice").orderBy(*order_by))
+    joined = sliced.withColumn("_near", inner).join(edges, "_slice", "left")
     return joined.select(*df.columns, F.coalesce("_near", "_carried").alias(into))
 
 

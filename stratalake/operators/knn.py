@@ -11,6 +11,8 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,8 +92,7 @@ def knn(
 
 
 def centroids(vectors: DataFrame, label: str) -> DataFrame:
-    """Mean vector per label as ``id, vector``; the sums are partial aggregates per dimension."""
-    parts = vectors.select(F.col(label).cast("long").alias("id"), F.posexplode("vector").alias("dim", "x"))
-    means = parts.groupBy("id", "dim").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    ordered = F.array_sort(F.collect_list(F.struct("dim", "x")))
-    return means.groupBy("id").agg(F.transform(ordered, lambda s: s["x"]).alias("vector"))
+    """Mean vector per label as ``id, vector``; each task sums its own vectors first."""
+    mean = Summarizer.mean(array_to_vector(F.col("vector")))
+    grouped = vectors.where("vector IS NOT NULL").groupBy(F.col(label).cast("long").alias("id"))
+    return grouped.agg(vector_to_array(mean).alias("vector"))

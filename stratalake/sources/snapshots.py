@@ -416,15 +416,20 @@ def overwrite_partitions(df: DataFrame, path: str) -> int:
 
 
 def optimize(
-    spark: SparkSession, path: str, target_bytes: int, cluster_by: Sequence[str] = (), files: int | None = None
+    spark: SparkSession,
+    path: str,
+    target_bytes: int,
+    cluster_by: Sequence[str] = (),
+    min_files: int = 1,
 ) -> int:
     """Rewrite the current version into files of about ``target_bytes`` (P-1), clustered if asked (P-2, P-3).
 
-    Leaves the value ranges of the clustered columns beside the version, for ``read_pruned``.
+    The file count grows with the table and is at least ``min_files``. Leaves the value ranges of the
+    clustered columns beside the version, for ``read_pruned``.
     """
     head = _existing(spark, path)
     stats = table_stats(spark, path).first()
-    n = files or max(1, -(-stats.bytes // target_bytes))
+    n = max(min_files, -(-stats.bytes // target_bytes), 1)
     df = _read_dirs(spark, path, _schema(head), head.dirs).select(*_schema(head).names)
     df = cluster(df, cluster_by, n, head.partition_by) if cluster_by else coalesce_to_size(df, n)
     version = head.version + 1

@@ -145,6 +145,7 @@ def test_version_diff(spark):
 def test_scd2_sliced_equals_plain(spark):
     rnd = random.Random(5)
     data = [(rnd.choice("ab"), t, rnd.choice("xyz")) for t in range(300)] + [("hot", t, "x") for t in range(300, 700)]
+    data += [(None, t, rnd.choice("xy")) for t in range(50)]
     df = spark.createDataFrame(data, "k string, t int, s string")
     plain = scd2_intervals(df, ["k"], ["t"], ["s"], "t")
     sliced = scd2_intervals(df, ["k"], ["t"], ["s"], "t", slice_of=F.floor(F.col("t") / 7))

@@ -137,7 +137,7 @@ def test_clustering_prunes_and_keeps_rows(spark, table):
     )
     st.write_table(users, table, files=200)
     assert st.table_stats(spark, table).first().files == 200
-    st.optimize(spark, table, 256 << 10, cluster_by=["user_id"], files=50)
+    st.optimize(spark, table, 256 << 10, cluster_by=["user_id"], min_files=50)
     gain = pruned_ratio(st.file_ranges(spark, table, ["user_id"]), "user_id", 4242).first()
     assert gain.files == 50 and gain.ratio >= 10
     found = st.read_pruned(spark, table, "user_id", 4242)
@@ -151,7 +151,7 @@ def test_a_hot_value_is_spread_over_files(spark, table):
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("user_id"), F.col("id").alias("n")
     )
     st.write_table(rows, table)
-    st.optimize(spark, table, 1 << 20, cluster_by=["user_id"], files=20)
+    st.optimize(spark, table, 1 << 20, cluster_by=["user_id"], min_files=20)
     sizes = [r.rows for r in st.file_ranges(spark, table, ["user_id"]).collect()]
     assert sum(sizes) == 30_000 and max(sizes) < 4_000
 
@@ -162,7 +162,7 @@ def test_z_order_prunes_both_columns(spark, table):
         (F.xxhash64("id", F.lit(1)) % 1000).alias("n"),
     )
     st.write_table(rows, table)
-    st.optimize(spark, table, 1 << 20, cluster_by=["doc", "n"], files=64)
+    st.optimize(spark, table, 1 << 20, cluster_by=["doc", "n"], min_files=64)
     ranges = st.file_ranges(spark, table, ["doc", "n"])
     assert pruned_ratio(ranges, "doc", "doc-1000").first().ratio > 3
     assert pruned_ratio(ranges, "n", 500).first().ratio > 3
