@@ -109,9 +109,14 @@ def triage(
     )
     ends = per_day.groupBy("tenant_id").agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi"))
     late = F.col("event_date") > F.date_add("lo", F.floor(F.datediff("hi", "lo") / 2).cast("int"))
+
+    def mean_score(period: Column) -> Column:
+        score, n = F.sum(F.when(period, F.col("score"))), F.sum(F.when(period, F.col("n")))
+        return rounded(F.try_divide(score, n), 4)
+
     drift = per_day.join(ends, "tenant_id").groupBy("tenant_id").agg(
-        rounded(F.sum(F.when(~late, F.col("score"))) / F.sum(F.when(~late, F.col("n"))), 4).alias("score_before"),
-        rounded(F.sum(F.when(late, F.col("score"))) / F.sum(F.when(late, F.col("n"))), 4).alias("score_after"),
+        mean_score(~late).alias("score_before"),
+        mean_score(late).alias("score_after"),
     )
     return sick.join(fresh, "tenant_id", "left").join(drift, "tenant_id", "left")
 

@@ -94,7 +94,7 @@ def embedding_rows(
 def retrieval_events(logs: DataFrame, zero_hit_below: float = ZERO_HIT_SCORE) -> DataFrame:
     """Typed retrieval events with masked user and query text and pointers back to Bronze (M-5)."""
     p = F.col("payload")
-    ts = F.to_timestamp_ntz(p["ts"])
+    ts = p["ts"].try_cast("timestamp_ntz")
     return (
         parse_payload(logs, "raw_payload", RETRIEVAL_SCHEMA)
         .where(~is_corrupt())

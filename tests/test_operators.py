@@ -9,10 +9,11 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stratalake.functions.payload import is_corrupt, parse_payload, zip_shortest
-from stratalake.functions.text import windows_of
-from stratalake.functions.vectors import cosine
+from stratalake.functions.text import mask_personal, strip_html, windows_of
+from stratalake.functions.vectors import cosine, l2_norm, normalised
 from stratalake.operators.dedup import first_per_key, top_k_per_key
 from stratalake.operators.history import scd2_intervals
+from stratalake.operators.impact import downstream
 from stratalake.operators.knn import knn
 from stratalake.operators.merge import delete_where, merge, merge_metrics, version_diff
 from stratalake.operators.percentiles import exact_percentiles
@@ -202,3 +203,23 @@ def test_knn(spark, blocks):
 def test_cosine_of_zero_vector(spark):
     df = spark.createDataFrame([([0.0, 0.0], [1.0, 2.0])], "a array<float>, b array<float>")
     assert df.select(cosine(F.col("a"), F.col("b"))).first()[0] == 0.0
+
+
+def test_normalised_vectors(spark):
+    df = spark.createDataFrame([([0.0, 0.0],), ([3.0, 4.0],), (None,)], "a array<float>")
+    got = [r[0] for r in df.select(normalised(F.col("a"))).collect()]
+    assert got[0] == [0.0, 0.0] and got[1] == pytest.approx([0.6, 0.8]) and got[2] is None
+    assert df.agg(F.max(l2_norm(F.col("a")))).first()[0] == 5.0
+
+
+def test_downstream_ends_on_cycles(spark):
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y")], "source string, target string")
+    start = spark.createDataFrame([("a",)], "node string")
+    assert rows(downstream(edges, start)) == [("a", 0), ("b", 1), ("c", 2)]
+
+
+def test_masking_and_html(spark):
+    df = spark.createDataFrame([("mail a.b@c.org or +49 170 1234567 now", "<p>a&lt;b</p><script>x</script> &amp;lt; c")], "t string, h string")
+    masked, text = df.select(mask_personal(F.col("t")), strip_html(F.col("h"))).first()
+    assert masked == "mail <email> or <number> now"
+    assert text == "a<b &lt; c"
