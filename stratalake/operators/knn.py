@@ -1,31 +1,56 @@
 """Exact nearest neighbours by cosine.
 
-Both sides are cut into blocks and each pair of blocks is one task: a matrix product that keeps k rows per
-query and emits nothing else. No task sees more than one block of either side and nothing goes through
-the driver. Every query gets at most k rows per vector block, which a grouped top k then reduces.
+A query set whose measured size is small is broadcast and every task scans its own vectors: nothing is
+shuffled but k rows per query and task. Larger query sets meet the vectors block by block: both sides are
+cut into blocks and each pair of blocks is one task, which holds one block of either side. Either way a
+matrix product keeps k rows per query and a grouped top k reduces them.
 """
 
 from __future__ import annotations
 
 import math
+import sys
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from stratalake.operators.dedup import top_k_per_key
 
+# the tasks get this module's functions with the job, so executors need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BROADCAST_BYTES = 32 << 20
 QUERY_BLOCK_ROWS = 2048
 VECTOR_BLOCK_ROWS = 8192
 _RESULT = "query_id long, vec_id long, score double"
+_NONE = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+
 
+@dataclass(frozen=True)
+class _Scoring:
+    k: int
+    exclude_self: bool
+    places: int
+    guard: float
 
-def _unit_rows(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    rows = np.stack(vectors.to_numpy()).astype(np.float64)
-    return rows, np.sqrt(np.einsum("ij,ij->i", rows, rows))
+    def top(self, q_ids: np.ndarray, q: np.ndarray, v_ids: np.ndarray, v: np.ndarray) -> pd.DataFrame:
+        """The k best vectors of one block for each query."""
+        norms = np.outer(np.linalg.norm(q, axis=1), np.linalg.norm(v, axis=1))
+        scores = np.round(q @ v.T / (norms + self.guard), self.places)
+        if self.exclude_self:
+            scores[q_ids[:, None] == v_ids[None, :]] = -np.inf
+        found = [_best(row, v_ids, self.k) for row in scores]
+        rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        cols = np.concatenate(found)
+        out = pd.DataFrame({"query_id": q_ids[rows], "vec_id": v_ids[cols], "score": scores[rows, cols]})
+        return out[np.isfinite(out["score"])]
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -38,6 +63,10 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((ids[near], -scores[near]))][:k]
 
 
+def _matrix(vectors) -> np.ndarray:
+    return np.stack(list(vectors)).astype(np.float64)
+
+
 def knn(
     queries: DataFrame,
     vectors: DataFrame,
@@ -45,50 +74,64 @@ def knn(
     exclude_self: bool = False,
     places: int = 6,
     guard: float = 1e-9,
-    query_blocks: int | None = None,
-    vector_blocks: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    query_rows: int = QUERY_BLOCK_ROWS,
+    vector_rows: int = VECTOR_BLOCK_ROWS,
 ) -> DataFrame:
     """The k most similar vectors of every query as ``query_id, vec_id, score, rank`` (J-9).
 
-    Both inputs have ``id, vector``. Scores are rounded to ``places`` before they are ranked, equal scores
-    go by id. ``exclude_self`` leaves out the row with the query's own id. NULL vectors take no part.
+    Both inputs have ``id, vector`` with unique ids. Scores are rounded to ``places`` before they are
+    ranked, equal scores go by id. ``exclude_self`` leaves out the row with the query's own id. NULL vectors
+    take no part. One job measures the queries to choose between broadcast and blocks.
     """
-    queries, vectors = (df.where("id IS NOT NULL AND vector IS NOT NULL") for df in (queries, vectors))
-    if query_blocks is None:
-        query_blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK_ROWS))
-    if vector_blocks is None:
-        slots = queries.sparkSession.sparkContext.defaultParallelism
-        by_size = math.ceil(vectors.count() / VECTOR_BLOCK_ROWS)
-        vector_blocks = max(1, by_size, math.ceil(slots / query_blocks))
-
-    def blocks(df: DataFrame, mine: str, n: int, other: str, m: int) -> DataFrame:
-        return df.select(
-            "id",
-            "vector",
-            F.pmod(F.xxhash64("id"), F.lit(n)).alias(mine),
-            F.explode(F.expr(f"sequence(0L, {m - 1}L)")).alias(other),
-        )
+    queries, vectors = (df.where("id IS NOT NULL AND vector IS NOT NULL").select("id", "vector") for df in (queries, vectors))
+    scoring = _Scoring(k, exclude_self, places, guard)
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
+    if size.n * (size.dim or 0) * 8 <= broadcast_bytes:
+        partial = _by_broadcast(queries, vectors, scoring)
+    else:
+        partial = _by_blocks(queries, size.n, vectors, scoring, query_rows, vector_rows)
+    return top_k_per_key(partial, ["query_id"], [F.desc("score"), "vec_id"], k, rank_as="rank")
+
+
+def _by_broadcast(queries: DataFrame, vectors: DataFrame, scoring: _Scoring) -> DataFrame:
+    rows = queries.collect()
+    if not rows:
+        return vectors.sparkSession.createDataFrame([], _RESULT)
+    held = (np.array([r.id for r in rows]), _matrix(r.vector for r in rows))
+    shared = vectors.sparkSession.sparkContext.broadcast(held)
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        q_ids, q = shared.value
+        best = _NONE
+        for batch in batches:
+            if len(batch):
+                found = scoring.top(q_ids, q, batch["id"].to_numpy(), _matrix(batch["vector"]))
+                best = found if best.empty else pd.concat([best, found])
+                best = best.sort_values(["score", "vec_id"], ascending=[False, True]).groupby("query_id").head(scoring.k)
+        yield best
+
+    return vectors.mapInPandas(scan, _RESULT)
+
+
+def _by_blocks(
+    queries: DataFrame, query_count: int, vectors: DataFrame, scoring: _Scoring, query_rows: int, vector_rows: int
+) -> DataFrame:
+    query_blocks = math.ceil(query_count / query_rows)
+    vector_blocks = max(1, math.ceil(vectors.count() / vector_rows))
+
+    def blocks(df: DataFrame, mine: str, n: int, other: str, m: int) -> GroupedData:
+        own = F.pmod(F.xxhash64("id"), F.lit(n)).alias(mine)
+        return df.select("id", "vector", own, F.explode(F.expr(f"sequence(0L, {m - 1}L)")).alias(other)).groupBy("qb", "vb")
 
     def score_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        q, q_norm = _unit_rows(left["vector"])
-        v, v_norm = _unit_rows(right["vector"])
-        q_ids, v_ids = left["id"].to_numpy(), right["id"].to_numpy()
-        scores = np.round(q @ v.T / (np.outer(q_norm, v_norm) + guard), places)
-        if exclude_self:
-            scores[q_ids[:, None] == v_ids[None, :]] = -np.inf
-        found = [_best(row, v_ids, k) for row in scores]
-        sizes = [len(f) for f in found]
-        cols = np.concatenate(found)
-        rows = np.repeat(np.arange(len(found)), sizes)
-        out = pd.DataFrame({"query_id": q_ids[rows], "vec_id": v_ids[cols], "score": scores[rows, cols]})
-        return out[np.isfinite(out["score"])]
+            return _NONE
+        return scoring.top(left["id"].to_numpy(), _matrix(left["vector"]), right["id"].to_numpy(), _matrix(right["vector"]))
 
-    left = blocks(queries, "qb", query_blocks, "vb", vector_blocks).groupBy("qb", "vb")
-    right = blocks(vectors, "vb", vector_blocks, "qb", query_blocks).groupBy("qb", "vb")
-    per_cell = left.cogroup(right).applyInPandas(score_cell, _RESULT)
-    return top_k_per_key(per_cell, ["query_id"], [F.desc("score"), "vec_id"], k, rank_as="rank")
+    left = blocks(queries, "qb", query_blocks, "vb", vector_blocks)
+    right = blocks(vectors, "vb", vector_blocks, "qb", query_blocks)
+    return left.cogroup(right).applyInPandas(score_cell, _RESULT)
 
 
 def centroids(vectors: DataFrame, label: str) -> DataFrame:

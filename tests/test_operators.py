@@ -179,25 +179,32 @@ def test_zip_shortest(spark):
     assert [tuple(r) for r in out] == [("a", 1), ("b", 2)]
 
 
-def brute_knn(ids, m, k):
+def brute_knn(ids, m, k, exclude_self):
     unit = np.sqrt((m * m).sum(1))
     s = np.round(m @ m.T / (np.outer(unit, unit) + 1e-9), 6)
     out = []
     for i, q in enumerate(ids):
-        order = sorted((-s[i, j], ids[j]) for j in range(len(ids)) if j != i)[:k]
+        order = sorted((-s[i, j], ids[j]) for j in range(len(ids)) if not (exclude_self and j == i))[:k]
         out += [(q, v, round(-neg, 6), r + 1) for r, (neg, v) in enumerate(order)]
     return sorted(out)
 
 
-@pytest.mark.parametrize("blocks", [(1, 1), (3, 4), (None, None)])
-def test_knn(spark, blocks):
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "query_rows": 20, "vector_rows": 17}, {"broadcast_bytes": 0}])
+@pytest.mark.parametrize("exclude_self", [True, False])
+def test_knn(spark, options, exclude_self):
     rng = np.random.default_rng(0)
     m = rng.normal(size=(60, 8)).astype(np.float32)
     m[30:50] = m[7]  # a third of the vectors are the same
-    df = spark.createDataFrame([(i, m[i].tolist()) for i in range(60)], "id long, vector array<float>")
-    got = knn(df, df, 4, exclude_self=True, query_blocks=blocks[0], vector_blocks=blocks[1])
+    df = spark.createDataFrame([(i, m[i].tolist()) for i in range(60)], "id long, vector array<float>").repartition(3)
+    got = knn(df, df, 4, exclude_self=exclude_self, **options)
     got = sorted((r.query_id, r.vec_id, round(r.score, 6), r.rank) for r in got.collect())
-    assert got == brute_knn(list(range(60)), m.astype(np.float64), 4)
+    assert got == brute_knn(list(range(60)), m.astype(np.float64), 4, exclude_self)
+
+
+def test_knn_without_queries(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0])], "id long, vector array<float>")
+    assert knn(df.where("id > 1"), df, 3).count() == 0
+    assert knn(df, df.where("id > 1"), 3, broadcast_bytes=0).count() == 0
 
 
 def test_cosine_of_zero_vector(spark):

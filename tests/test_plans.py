@@ -2,6 +2,8 @@
 
 import os
 import re
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from stratalake.sources import snapshots as st
 from stratalake.sources.parquet import load
 
 SF = f"{DATA}/sf0.001"
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
@@ -64,3 +67,16 @@ def test_merge_reads_only_touched_folders(spark, table):
     log = st.history(spark, table).first()
     assert log.metrics["rows_copied"] == 24 and log.metrics["rows_updated"] == 1
     assert st.read_table(spark, table).count() == 100
+
+
+def test_python_tasks_run_without_the_package_on_their_path(tmp_path):
+    """Executors only get what is sent with the job; a foreign working folder stands in for them."""
+    script = (
+        f"import sys; sys.path.insert(0, {ROOT!r})\n"
+        "from stratalake.session import get_spark\n"
+        "from stratalake.catalog import all_queries\n"
+        "spark = get_spark('elsewhere', 2)\n"
+        f"print(all_queries()['knn_label_centroids'](spark, {SF!r}).count() > 0)\n"
+    )
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.stdout.strip().endswith("True"), done.stderr[-2000:]
