@@ -9,7 +9,7 @@ from stratalake.sources.parquet import load, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "components", "global_row_number", "load", "running_sum", "staged", "whole_text"]
+__all__ = ["WORD", "bucket_of", "components", "global_row_number", "load", "running_sum", "staged", "whole_text"]
 
 
 def whole_text(column: str = "text") -> Column:
@@ -17,6 +17,14 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def bucket_of(key: Column, cuts: list[int], first: int = 0) -> Column:
+    """Number of cuts that are at most the key: a balanced tree of comparisons, evaluated in generated code."""
+    if not cuts:
+        return F.lit(first)
+    mid = len(cuts) // 2
+    return F.when(key < F.lit(cuts[mid]), bucket_of(key, cuts[:mid], first)).otherwise(bucket_of(key, cuts[mid + 1 :], first + mid + 1))
+
+
 def global_row_number(df: DataFrame, order: list[str], alias: str) -> DataFrame:
     """Number rows from 0 in the order of distinct keys, without one task that sees them all.
 

@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.catalog.registry import Registry
-from stratalake.llm import mixing, sharding, simhash
+from stratalake.llm import mixing, order_minhash, sharding, simhash
 from stratalake.llm.common import load
 
 registry = Registry()
 
 
+@registry.query()
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.edited_pairs(load(spark, sf_dir, "documents"))
+
+
 @registry.query()
 def op7_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"))

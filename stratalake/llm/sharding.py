@@ -8,10 +8,10 @@ All other groups of equal texts stay in one shard.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import staged, whole_text
+from stratalake.llm.common import bucket_of, staged, whole_text
 
 SHARDS = 40
 RANGES_PER_SHARD = 4
@@ -20,14 +20,6 @@ PARTS_PER_SHARD = 64
 OVERHEAD = 16
 
 
-def _search(key: Column, cuts: list[int], first: int = 0) -> Column:
-    """Number of cuts that are at most the key: a balanced tree of comparisons, evaluated in generated code."""
-    if not cuts:
-        return F.lit(first)
-    mid = len(cuts) // 2
-    return F.when(key < F.lit(cuts[mid]), _search(key, cuts[:mid], first)).otherwise(_search(key, cuts[mid + 1 :], first + mid + 1))
-
-
 def splitters(rows: DataFrame, total: int, ranges: int, samples: int = SAMPLES_PER_RANGE) -> list[int]:
     """Quantile cuts of keys drawn in proportion to size.
 
@@ -66,7 +58,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, ranges_per_shard: int = RANGES_
     placed = staged(
         rows.join(F.broadcast(large), "key", "left").select(
             "doc_id", "size", "text_crc32", "key", F.col("group_size").isNotNull().alias("cut"),
-            _search(F.col("key"), cuts).alias("range"),
+            bucket_of(F.col("key"), cuts).alias("range"),
             F.when(F.col("group_size").isNull(), F.lit(0))
             .otherwise(1 + F.pmod(F.xxhash64(F.lit("sub"), "doc_id"), F.ceil(F.col("group_size") / F.lit(part))))
             .cast("long")
