@@ -9,7 +9,7 @@ from stratalake.sources.parquet import load, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "bucket_of", "components", "global_row_number", "load", "running_sum", "staged", "whole_text"]
+__all__ = ["WORD", "bucket_of", "components", "global_row_number", "label_sample", "load", "running_sum", "staged", "whole_text"]
 
 
 def whole_text(column: str = "text") -> Column:
@@ -25,6 +25,13 @@ def bucket_of(key: Column, cuts: list[int], first: int = 0) -> Column:
     return F.when(key < F.lit(cuts[mid]), bucket_of(key, cuts[:mid], first)).otherwise(bucket_of(key, cuts[mid + 1 :], first + mid + 1))
 
 
+def label_sample(labels: DataFrame, column: str, usable: Column, rows: int) -> DataFrame:
+    """At most ``rows`` labelled ids as ``doc_id, label``, drawn by a hash of the id among ``usable`` rows."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & usable)
+    known = known.groupBy("doc_id").agg((F.max(column) > 0).cast("int").alias("label"))
+    return known.orderBy(F.xxhash64(F.lit("sample"), "doc_id"), "doc_id").limit(rows)
+
+
 def global_row_number(df: DataFrame, order: list[str], alias: str) -> DataFrame:
     """Number rows from 0 in the order of distinct keys, without one task that sees them all.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.catalog.registry import Registry
-from stratalake.llm import mixing, order_minhash, sharding, simhash
+from stratalake.llm import mixing, order_minhash, quality, sharding, simhash, toxicity
 from stratalake.llm.common import load
 
 registry = Registry()
@@ -17,6 +17,16 @@ def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edited_pairs(load(spark, sf_dir, "documents"))
 
 
+@registry.query()
+def op3_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@registry.query()
+def op4_factorization_machine_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 @registry.query()
 def op7_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
