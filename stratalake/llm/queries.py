@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.catalog.registry import Registry
-from stratalake.llm import mixing, order_minhash, quality, sharding, simhash, toxicity
+from stratalake.llm import html_main, imi, mixing, order_minhash, quality, sharding, simhash, toxicity, viterbi
 from stratalake.llm.common import load
 
 registry = Registry()
 
 
+@registry.query()
+def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imi.search(load(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
 @registry.query()
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edited_pairs(load(spark, sf_dir, "documents"))
@@ -27,6 +32,11 @@ def op4_factorization_machine_toxicity(spark: SparkSession, sf_dir: str) -> Data
     return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+@registry.query()
+def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(load(spark, sf_dir, "pages"))
+
+
 @registry.query()
 def op7_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
@@ -39,6 +49,11 @@ def op8_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@registry.query()
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.encoded_documents(load(spark, sf_dir, "documents"))
+
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
