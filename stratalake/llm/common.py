@@ -9,7 +9,7 @@ from stratalake.sources.parquet import load, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "bucket_of", "components", "global_row_number", "label_sample", "load", "running_sum", "staged", "whole_text"]
+__all__ = ["WORD", "bucket_of", "components", "global_row_number", "label_sample", "load", "running_sums", "staged", "whole_text"]
 
 
 def whole_text(column: str = "text") -> Column:
@@ -53,20 +53,21 @@ def global_row_number(df: DataFrame, order: list[str], alias: str) -> DataFrame:
     )
 
 
-def running_sum(df: DataFrame, group: list[str], bucket: str, order: list[str], value: str, alias: str) -> DataFrame:
-    """Sum of ``value`` over the rows before each row of its group, in the order (``bucket``, ``order``).
+def running_sums(df: DataFrame, group: list[str], bucket: str, order: list[str], values: dict[str, str]) -> DataFrame:
+    """Sums over the rows before each row of its group, in the order (``bucket``, ``order``), as new columns.
 
-    A group may hold most rows: only (group, bucket) cells meet in one task, and one sum per cell is
-    added up over the group. ``group`` and ``bucket`` must not be null.
+    ``values`` maps each new column to the one it sums. A group may hold most rows: only (group, bucket) cells
+    meet in one task, and one sum per cell is added up over the group. ``group`` and ``bucket`` must not be null.
     """
     cell = [*group, bucket]
     before = Window.unboundedPreceding, -1
-    sums = df.groupBy(*cell).agg(F.sum(value).alias("_sum"))
-    starts = sums.select(
-        *cell, F.coalesce(F.sum("_sum").over(Window.partitionBy(*group).orderBy(bucket).rowsBetween(*before)), F.lit(0)).alias("_start")
-    )
-    inner = F.coalesce(F.sum(value).over(Window.partitionBy(*cell).orderBy(*order).rowsBetween(*before)), F.lit(0))
-    return df.withColumn("_inner", inner).join(starts, cell).withColumn(alias, F.col("_start") + F.col("_inner")).drop("_start", "_inner")
+    sums = df.groupBy(*cell).agg(*[F.sum(v).alias(f"_{n}_sum") for n, v in values.items()])
+    earlier = Window.partitionBy(*group).orderBy(bucket).rowsBetween(*before)
+    starts = sums.select(*cell, *[F.coalesce(F.sum(f"_{n}_sum").over(earlier), F.lit(0)).alias(f"_{n}_start") for n in values])
+    inside = Window.partitionBy(*cell).orderBy(*order).rowsBetween(*before)
+    inner = df.withColumns({f"_{n}_inner": F.coalesce(F.sum(v).over(inside), F.lit(0)) for n, v in values.items()})
+    whole = {n: F.col(f"_{n}_start") + F.col(f"_{n}_inner") for n in values}
+    return inner.join(starts, cell).withColumns(whole).drop(*[f"_{n}_{x}" for n in values for x in ("start", "inner")])
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

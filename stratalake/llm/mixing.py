@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import WORD, global_row_number, running_sum, staged, whole_text
+from stratalake.llm.common import WORD, global_row_number, running_sums, staged, whole_text
 
 WEIGHTS = (3.0, 1.0, 2.0)
 RAMPS = (0.5, -0.5, 0.0)
@@ -88,7 +88,7 @@ def plan_mix(docs: DataFrame, weights=WEIGHTS, ramps=RAMPS, share: float = SHARE
     goals = targets(sizes, weights, ramps, share, cap)
     cells = max(16, rows.count() // cell_rows)
     cell = F.floor(F.conv(F.substring("turn", 1, 8), 16, 10).cast("long") * F.lit(cells) / F.lit(1 << 32)).cast("int")
-    placed = running_sum(rows.withColumn("cell", cell), ["src", "unnamed"], "cell", ["turn", "text_hash"], "size", "start")
+    placed = running_sums(rows.withColumn("cell", cell), ["src", "unnamed"], "cell", ["turn", "text_hash"], {"start": "size"})
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     again = F.when((F.col("size") > 0) & (F.col("start") + F.col("size") / F.lit(2.0) < rest), F.lit(1)).otherwise(F.lit(0)).cast("long")

@@ -16,10 +16,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import label_sample, staged, whole_text
+from stratalake.llm.common import label_sample, whole_text
 
 ROWS = 1 << 14
 DIMS = 32
@@ -137,17 +138,16 @@ def pooled(vectors: np.ndarray, rows: np.ndarray, lengths: np.ndarray) -> np.nda
     return out
 
 
-def features(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
-    """``doc_id, features`` of every document, staged."""
-    shared = docs.sparkSession.sparkContext.broadcast(vectors)  # ``ROWS`` x ``DIMS`` floats
+def _features_of(vectors: Broadcast):
+    """Column function from text to features, for vectors that are broadcast: ``ROWS`` x ``DIMS`` floats."""
 
     @F.pandas_udf("array<float>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = TokenRows(len(shared.value))
+        tokens = TokenRows(len(vectors.value))
         for texts in batches:
-            yield pd.Series([f for rows, lengths in steps(texts, tokens) for f in pooled(shared.value, rows, lengths)], dtype=object)
+            yield pd.Series([f for rows, lengths in steps(texts, tokens) for f in pooled(vectors.value, rows, lengths)], dtype=object)
 
-    return staged(docs.select("doc_id", of(whole_text()).alias("features")), "pooled")
+    return of
 
 
 @dataclass
@@ -225,6 +225,35 @@ def held_out(modulus: int, remainder: int, doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+def fit(docs: DataFrame, labels: DataFrame, vectors: Broadcast, train_rows: int = TRAIN_ROWS) -> Network:
+    """The network of a bounded sample of the labelled documents."""
+    known = label_sample(labels, "quality", ~held_out(5, 0), train_rows)
+    taught = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(known), "doc_id")  # train_rows ids at most
+    taught = taught.select("doc_id", "label", _features_of(vectors)("text").alias("features")).toPandas()
+    taught = taught.sort_values("doc_id").drop_duplicates("doc_id")
+    x = np.stack(taught["features"].to_list()).astype(np.float64) if len(taught) else np.zeros((0, FEATURES))
+    return train(x, taught["label"].to_numpy(np.float64))
+
+
+def with_score(docs: DataFrame, labels: DataFrame, alias: str, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """``docs`` and the probability of label 1 of each text as a further column ``alias``.
+
+    Word vectors come from all texts of ``docs``.
+    """
+    context = docs.sparkSession.sparkContext
+    vectors = context.broadcast(word_vectors(docs))
+    shared = context.broadcast(fit(docs, labels, vectors, train_rows))
+
+    @F.pandas_udf("double")
+    def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokens = TokenRows(len(vectors.value))
+        for texts in batches:
+            parts = [shared.value.probability(pooled(vectors.value, rows, lengths).astype(np.float64)) for rows, lengths in steps(texts, tokens)]
+            yield pd.Series(np.concatenate(parts) if parts else [], dtype="float64")
+
+    return docs.withColumn(alias, probability(whole_text()))
+
+
 def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every row of ``docs`` (``doc_id, text``).
 
@@ -233,17 +262,5 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, thre
     most ``train_rows`` labelled rows, drawn by a hash of the id. A null or empty text gets the score of zero
     features. Equal texts get equal scores. Extra columns are ignored; an empty table gives no rows.
     """
-    rows = features(docs, word_vectors(docs))
-    known = label_sample(labels, "quality", ~held_out(5, 0), train_rows)
-    taught = rows.join(F.broadcast(known), "doc_id").select("doc_id", "features", "label").toPandas()  # bounded by train_rows
-    taught = taught.sort_values("doc_id").drop_duplicates("doc_id")
-    x = np.stack(taught["features"].to_list()).astype(np.float64) if len(taught) else np.zeros((0, FEATURES))
-    net = train(x, taught["label"].to_numpy(np.float64))
-    shared = docs.sparkSession.sparkContext.broadcast(net)
-
-    @F.pandas_udf("double")
-    def probability(f: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.probability(np.stack(f.to_list()).astype(np.float64)) if len(f) else [], dtype="float64")
-
-    scored = rows.select("doc_id", held_out(5, 0).alias("held_out"), probability("features").alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = with_score(docs.select("doc_id", "text"), labels, "score", train_rows)
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

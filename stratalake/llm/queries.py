@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.catalog.registry import Registry
-from stratalake.llm import html_main, imi, mixing, order_minhash, quality, sharding, simhash, toxicity, viterbi
+from stratalake.llm import chat, html_main, imi, mixing, order_minhash, quality, sharding, simhash, toxicity, viterbi
 from stratalake.llm.common import load
 
 registry = Registry()
@@ -32,6 +32,55 @@ def op4_factorization_machine_toxicity(spark: SparkSession, sf_dir: str) -> Data
     return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+CHAT_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), p AS (
+  SELECT *, length('<|' || replace(replace(replace(role, '<', '<.'), '[', '[.'), '|', '|.') || '|>'
+                   || replace(replace(text, '<', '<.'), '[', '[.') || '<|/|>') AS chars
+  FROM t
+), k AS (
+  SELECT *, CAST(ceil(chars / 4.0) AS BIGINT) AS tokens, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS n FROM p
+), s AS (
+  SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         (n = 0 AND role = 'system') AS opens
+  FROM k
+), y AS (
+  SELECT *, coalesce(max(CASE WHEN opens THEN tokens END) OVER (PARTITION BY conv_id), 0) AS system_tokens,
+         coalesce(max(CASE WHEN opens THEN chars END) OVER (PARTITION BY conv_id), 0) AS system_chars
+  FROM s
+), l AS (
+  SELECT *, CAST(floor(greatest(2, 448 - system_tokens) / 2) AS BIGINT) AS stride FROM y
+), g AS (
+  SELECT *, CASE WHEN tokens > stride THEN 1 ELSE 0 END AS long, CAST(floor(start / stride) AS BIGINT) AS block FROM l
+), h AS (
+  SELECT *, coalesce(sum(long) OVER (PARTITION BY conv_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS longs FROM g
+), e AS (
+  SELECT *, max(n) OVER w AS last, min(n) OVER w AS first, max(start + tokens) OVER w AS stop, max(n) OVER (PARTITION BY conv_id) AS final
+  FROM h WINDOW w AS (PARTITION BY conv_id, longs, long, block)
+)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY n), '')) AS loss_sha256,
+       CAST(sum(chars) + sum(CASE WHEN NOT opens AND stop - start <= 64 AND last < final THEN chars ELSE 0 END)
+            + sum(CASE WHEN n = first AND n > 0 THEN system_chars ELSE 0 END) AS BIGINT) AS formatted_chars,
+       CAST(count(CASE WHEN n = first THEN 1 END) AS BIGINT) AS n_windows
+FROM e GROUP BY conv_id
+"""
+
+
+@registry.query(CHAT_SQL)
+def op5_budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant"))
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(said).alias("text"))
+    return chat.digests(chat.windows(turns.unionByName(more)))
+
+
 @registry.query()
 def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(load(spark, sf_dir, "pages"))

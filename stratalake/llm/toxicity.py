@@ -127,14 +127,8 @@ def train(samples: list[np.ndarray], y: np.ndarray, space: int = SPACE, terms: i
     return Machine({int(h): i for i, h in enumerate(chosen)}, float(bias), w[:, 0].copy(), w[:, 1:].copy())
 
 
-def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` of every row of ``docs`` (``doc_id, text``).
-
-    ``labels`` has ``doc_id, toxic``; rows with a null in either, and held-out rows, teach nothing; of several
-    labels for one id the largest counts. The model learns from at most ``train_rows`` labelled rows, drawn by a
-    hash of the id. A null or empty text has no terms and gets the score of the bias alone. Equal texts get equal
-    scores. Extra columns are ignored; an empty table gives no rows.
-    """
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Machine:
+    """The model of a bounded sample of the labelled documents; copies with equal labels teach once."""
     known = label_sample(labels, "toxic", ~held_out(3, 1), train_rows)
 
     @F.pandas_udf("binary")
@@ -142,10 +136,15 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, thre
         terms = Terms()
         return pd.Series([terms.of(t).tobytes() for t in texts], dtype=object)
 
-    sample = docs.join(F.broadcast(known), "doc_id").select("doc_id", "label", hashed(whole_text()).alias("terms")).toPandas()
-    sample = sample.sort_values(["doc_id", "terms"]).drop_duplicates("doc_id").drop_duplicates(["terms", "label"])  # copies teach once
-    machine = train([np.frombuffer(t, np.int32) for t in sample["terms"]], sample["label"].to_numpy(np.float64))
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    sample = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(known), "doc_id")  # train_rows ids at most
+    sample = sample.select("doc_id", "label", hashed("text").alias("terms")).toPandas()
+    sample = sample.sort_values(["doc_id", "terms"]).drop_duplicates("doc_id").drop_duplicates(["terms", "label"])
+    return train([np.frombuffer(t, np.int32) for t in sample["terms"]], sample["label"].to_numpy(np.float64))
+
+
+def with_score(docs: DataFrame, labels: DataFrame, alias: str, train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """``docs`` and the probability of toxicity of each text as a further column ``alias``."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, train_rows))
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -154,5 +153,16 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, thre
         for texts in batches:
             yield pd.Series(sigmoid(np.array([model.logit(terms.of(t)) for t in texts])), dtype="float64")
 
-    scored = docs.select("doc_id", held_out(3, 1).alias("held_out"), probability(whole_text()).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return docs.withColumn(alias, probability(whole_text()))
+
+
+def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every row of ``docs`` (``doc_id, text``).
+
+    ``labels`` has ``doc_id, toxic``; rows with a null in either, and held-out rows, teach nothing; of several
+    labels for one id the largest counts. The model learns from at most ``train_rows`` labelled rows, drawn by a
+    hash of the id. A null or empty text has no terms and gets the score of the bias alone. Equal texts get equal
+    scores. Extra columns are ignored; an empty table gives no rows.
+    """
+    scored = with_score(docs.select("doc_id", "text"), labels, "score", train_rows)
+    return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
