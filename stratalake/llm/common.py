@@ -9,7 +9,7 @@ from stratalake.sources.parquet import load, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "bucket_of", "components", "global_row_number", "label_sample", "load", "running_sums", "staged", "whole_text"]
+__all__ = ["WORD", "bucket_of", "components", "global_row_number", "label_sample", "load", "running_sums", "staged", "unused", "whole_text"]
 
 
 def whole_text(column: str = "text") -> Column:
@@ -17,6 +17,14 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bucket_of(key: Column, cuts: list[int], first: int = 0) -> Column:
     """Number of cuts that are at most the key: a balanced tree of comparisons, evaluated in generated code."""
     if not cuts:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import WORD, global_row_number, running_sums, staged, whole_text
+from stratalake.llm.common import WORD, global_row_number, running_sums, staged, unused, whole_text
 
 WEIGHTS = (3.0, 1.0, 2.0)
 RAMPS = (0.5, -0.5, 0.0)
@@ -122,26 +122,27 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 
     Documents without words weigh nothing and are read once, at the start. Settings are those of ``plan_mix``.
     """
-    times = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("copies"), F.lit(1)) - 1), position_of_copy)
+    id_, unknown, hash_, reads, times, at = (unused(docs, f"_mix_{n}") for n in ("id", "unknown", "hash", "reads", "times", "position"))
+    positions = F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("copies"), F.lit(1)) - 1), position_of_copy)
     plan = (
         plan_mix(docs, **settings)
         .where("copies > 0 OR size = 0")
         .select(
-            F.coalesce("doc_id", F.lit(0)).alias("_mix_id"),
-            F.col("doc_id").isNull().alias("_mix_unknown"),
-            F.col("text_hash").alias("_mix_hash"),
-            F.struct("start", F.transform(times, lambda t: F.coalesce(t, F.lit(0.0))).alias("times")).alias("read"),
+            F.coalesce("doc_id", F.lit(0)).alias(id_),
+            F.col("doc_id").isNull().alias(unknown),
+            F.col("text_hash").alias(hash_),
+            F.struct("start", F.transform(positions, lambda t: F.coalesce(t, F.lit(0.0))).alias("times")).alias("read"),
         )
-        .groupBy("_mix_id", "_mix_unknown", "_mix_hash")
-        .agg(F.sort_array(F.collect_list("read")).alias("_mix_reads"))
+        .groupBy(id_, unknown, hash_)
+        .agg(F.sort_array(F.collect_list("read")).alias(reads))
     )
-    keys = {"_mix_id": F.coalesce("doc_id", F.lit(0)), "_mix_unknown": F.col("doc_id").isNull(), "_mix_hash": F.xxhash64(whole_text())}
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_mix_hash"))  # rows repeated as a whole take one entry each
+    keys = {id_: F.coalesce("doc_id", F.lit(0)), unknown: F.col("doc_id").isNull(), hash_: F.xxhash64(whole_text())}
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(hash_))  # rows repeated as a whole take one entry each
     return (
         docs.withColumns(keys)
         .join(plan, list(keys))
-        .withColumn("_mix_times", F.get(F.col("_mix_reads"), nth - 1)["times"])
-        .select(*[F.col(c) for c in docs.columns], F.explode("_mix_times").alias("_mix_position"))
-        .orderBy("_mix_position")
+        .withColumn(times, F.get(F.col(reads), nth - 1)["times"])
+        .select(*[F.col(c) for c in docs.columns], F.explode(times).alias(at))
+        .orderBy(at)
         .select(*docs.columns)
     )

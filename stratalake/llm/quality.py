@@ -104,7 +104,7 @@ def word_vectors(docs: DataFrame, rows: int = ROWS, dims: int = DIMS, reach: int
             for found, lengths in steps(batch["text"], tokens):
                 add_contexts(table, index, found, lengths, reach)
         used = np.flatnonzero(table.any(axis=1))
-        yield pd.DataFrame({"row": used, "v": list(table[used])})
+        yield pd.DataFrame({"row": used, "v": pd.Series(list(table[used]), dtype=object)})
 
     parts = docs.select(text).mapInPandas(count, "row long, v array<long>")
     sums = parts.groupBy("row").agg(F.array(*[F.sum(F.col("v")[i]) for i in range(dims)]).alias("v"))

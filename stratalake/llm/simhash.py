@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import components, staged, whole_text
+from stratalake.llm.common import components, staged, unused, whole_text
 
 SEED = 42
 PAIRED = 16
@@ -130,13 +130,14 @@ def keep_one(docs: DataFrame, words: int = 3, bits: int = 2) -> DataFrame:
     """
     rows = near_duplicates(docs, words, bits)
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "fp")
+    id_, unknown, hash_, row = (unused(docs, f"_kept_{n}") for n in ("id", "unknown", "hash", "row"))
     kept = staged(
         rows.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("unnamed"))
         .agg(F.min(rank).alias("k"))
-        .select(F.coalesce("k.doc_id", F.lit(0)).alias("_kept_id"), F.col("k.unknown").alias("_kept_unknown"), F.col("k.text_hash").alias("_kept_hash")),
+        .select(F.coalesce("k.doc_id", F.lit(0)).alias(id_), F.col("k.unknown").alias(unknown), F.col("k.text_hash").alias(hash_)),
         "kept",
     )
-    marked = docs.withColumns({"_kept_id": F.coalesce("doc_id", F.lit(0)), "_kept_unknown": F.col("doc_id").isNull(), "_kept_hash": F.xxhash64(whole_text())})
-    keys = ["_kept_id", "_kept_unknown", "_kept_hash"]
-    one = F.row_number().over(Window.partitionBy(*keys).orderBy("_kept_hash"))
-    return marked.join(kept, keys, "left_semi").withColumn("_kept_row", one).where("_kept_row = 1").select(*docs.columns)
+    keys = [id_, unknown, hash_]
+    marked = docs.withColumns({id_: F.coalesce("doc_id", F.lit(0)), unknown: F.col("doc_id").isNull(), hash_: F.xxhash64(whole_text())})
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(hash_))
+    return marked.join(kept, keys, "left_semi").withColumn(row, first).where(F.col(row) == 1).select(*docs.columns)
