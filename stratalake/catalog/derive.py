@@ -154,7 +154,11 @@ _TOP = "(k * 37 + user_id * 11 + event_id * 7) % 9900 + 100"
 
 
 def raw_retrieval_logs(spark: SparkSession, sf: str) -> DataFrame:
-    """Bronze retrieval log: one JSON payload per event with five ranked chunks and their scores."""
+    """Bronze retrieval log: one JSON payload per event with five ranked chunks and their scores.
+
+    The hits go over all documents, one after the other.
+    """
+    documents = F.lit(load(spark, sf, "documents").count())
     events = spread_small(load(spark, sf, "events"), "event_id").withColumn("k", F.from_json("props", "k int")["k"])
     events = events.withColumn("top", F.expr(_TOP))
     ranks = F.array(*[F.lit(i) for i in range(5)])
@@ -167,7 +171,7 @@ def raw_retrieval_logs(spark: SparkSession, sf: str) -> DataFrame:
             tenant.alias("tenant_id"),
             F.concat(F.lit("where is item "), F.col("k")).alias("query_text"),
             F.expr(_QUERY_MODALITY).alias("query_modality"),
-            F.transform(ranks, lambda i: F.concat(F.lit("d"), (F.col("event_id") + i * 7) % 200, F.lit("-0"))).alias(
+            F.transform(ranks, lambda i: F.concat(F.lit("d"), (F.col("event_id") + i * 7) % documents, F.lit("-0"))).alias(
                 "retrieved_chunk_ids"
             ),
             F.transform(ranks, lambda i: F.floor(F.col("top") * (10 - i) / 10) / 10000).alias("relevance_scores"),
@@ -189,14 +193,14 @@ def raw_retrieval_logs(spark: SparkSession, sf: str) -> DataFrame:
 RETRIEVAL_SQL = f"""
 logs AS (
   SELECT *, {_TOP} AS top, {_QUERY_MODALITY} AS query_modality
-  FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)),
+  FROM (SELECT *, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events), (SELECT count(*) AS n_docs FROM documents)),
 retrieval AS (
   SELECT 'ev-' || CAST(event_id AS VARCHAR) AS event_id, 'q-' || CAST(event_id AS VARCHAR) AS query_id,
     sha256('user_' || CAST(user_id AS VARCHAR)) AS user_id, 'tenant-' || event_type AS tenant_id,
     sha256('where is item ' || CAST(k AS VARCHAR)) AS query_text_hash, query_modality,
-    [ 'd' || CAST((event_id + i * 7) % 200 AS VARCHAR) || '-0' FOR i IN range(5) ] AS ids,
+    [ 'd' || CAST((event_id + i * 7) % n_docs AS VARCHAR) || '-0' FOR i IN range(5) ] AS ids,
     [ CAST(floor(top * (10 - i) / 10.0) AS DOUBLE) / 10000 FOR i IN range(5) ] AS scores,
-    'd' || CAST(event_id % 200 AS VARCHAR) || '-0' AS top1_chunk_id,
+    'd' || CAST(event_id % n_docs AS VARCHAR) || '-0' AS top1_chunk_id,
     CAST(top AS DOUBLE) / 10000 AS top1_score, top / 10000.0 < 0.30 AS is_zero_hit,
     CAST(floor(value * 10) AS INTEGER) + 50 AS latency_ms, ts AS event_ts, CAST(ts AS DATE) AS event_date,
     'log-' || CAST(event_id AS VARCHAR) AS bronze_log_id, event_id + 1000000 AS bronze_kafka_offset

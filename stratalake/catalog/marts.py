@@ -255,17 +255,25 @@ def reembed_merge(spark, sf):
     return merged.select("chunk_id", "embedding_id", "embed_ts", "prompt_tokens", "cost_usd")
 
 
-@query(f"""WITH {DOCS_SQL}, {RETRIEVAL_SQL}, {QUALITY_SQL},
+# the directory of tenants: which log tenant the documents of a source belong to
+_TENANT = """CASE CAST(substr(tenant_id, 4) AS INTEGER) % 5 WHEN 0 THEN 'tenant-click' WHEN 1 THEN 'tenant-view'
+  WHEN 2 THEN 'tenant-purchase' WHEN 3 THEN 'tenant-signup' ELSE 'tenant-error' END"""
+
+
+@query(f"""WITH {DOCS_SQL}, {FRESHNESS_SQL}, {RETRIEVAL_SQL}, {QUALITY_SQL},
 sick AS (SELECT tenant_id, CAST(round(CAST(sum(zero_hit_count)::DOUBLE / sum(total_queries) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS zero_hit_rate FROM quality GROUP BY tenant_id),
 ends AS (SELECT tenant_id, min(event_date) AS lo, max(event_date) AS hi FROM retrieval GROUP BY tenant_id),
-halves AS (SELECT r.tenant_id, top1_score, event_date > lo + CAST(floor(date_diff('day', lo, hi) / 2) AS INTEGER) AS late FROM retrieval r JOIN ends USING (tenant_id))
-SELECT tenant_id, zero_hit_rate, CAST(NULL AS DOUBLE) AS freshness_ratio, score_before, score_after
-FROM sick JOIN (SELECT tenant_id, CAST(round(CAST(avg(top1_score) FILTER (WHERE NOT late) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS score_before,
+halves AS (SELECT r.tenant_id, top1_score, event_date > lo + CAST(floor(date_diff('day', lo, hi) / 2) AS INTEGER) AS late FROM retrieval r JOIN ends USING (tenant_id)),
+fresh AS (SELECT {_TENANT} AS tenant_id, CAST(round(CAST(sum(fresh_chunk_count)::DOUBLE / sum(total_chunk_count) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS freshness_ratio
+  FROM freshness GROUP BY 1)
+SELECT tenant_id, zero_hit_rate, freshness_ratio, score_before, score_after
+FROM sick LEFT JOIN fresh USING (tenant_id) JOIN (SELECT tenant_id, CAST(round(CAST(avg(top1_score) FILTER (WHERE NOT late) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS score_before,
   CAST(round(CAST(avg(top1_score) FILTER (WHERE late) AS DECIMAL(38, 10)), 4) AS DOUBLE) AS score_after FROM halves GROUP BY tenant_id) USING (tenant_id)
 WHERE zero_hit_rate > 0.25""")
 def incident_triage(spark, sf):
     events = _events(spark, sf)
-    return alerts.triage(marts.quality_kpi(events), _freshness(spark, sf), events)
+    fresh = _freshness(spark, sf).withColumn("tenant_id", F.expr(_TENANT))
+    return alerts.triage(marts.quality_kpi(events), fresh, events)
 
 
 @query("""SELECT CASE WHEN age <= 7 THEN 'hot' WHEN age <= 20 THEN 'warm' ELSE 'cold' END AS tier, count(*) AS events,

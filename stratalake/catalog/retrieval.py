@@ -48,6 +48,19 @@ def knn_top5(spark, sf):
     return knn(vectors, vectors, 5, exclude_self=True).withColumn("score", rounded("score", 4))
 
 
+@query(f"""WITH e AS (SELECT 'chunk-' || CAST(vec_id AS VARCHAR) AS id, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 10 <> 3),
+p AS (SELECT a.id AS query_id, b.id AS vec_id, CAST(round(CAST({_SCORE} AS DECIMAL(38, 12)), 6) AS DOUBLE) AS score
+  FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND a.vec_id % 50 = 0)
+SELECT query_id, vec_id, CAST(round(CAST(score AS DECIMAL(38, 10)), 4) AS DOUBLE) AS score, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p) WHERE rank <= 5""")
+def knn_chunk_neighbours(spark, sf):
+    """Neighbours of the same label for a query set, with text ids; every tenth vector is broken and takes no part."""
+    broken = F.when(F.col("id") % 10 == 3, F.transform("vector", lambda x, i: F.when(i == 0, F.lit(float("nan"))).otherwise(x))).otherwise(F.col("vector"))
+    vectors = _vectors(spark, sf).select(F.concat(F.lit("chunk-"), "id").alias("id"), broken.alias("vector"), "label", F.col("id").alias("n"))
+    found = knn(vectors.where("n % 50 = 0"), vectors, 5, exclude_self=True, within=["label"])
+    return found.withColumn("score", rounded("score", 4))
+
+
 CENTROID_SQL = f"""WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
 parts AS (SELECT label, unnest(v) AS x, unnest(range(len(v))) AS dim FROM e),
 means AS (SELECT label, dim, avg(x) AS x FROM parts GROUP BY ALL),

@@ -60,8 +60,11 @@ def content_copies(spark, sf):
 
 _STRIP = r"""regexp_replace(regexp_replace(regexp_replace(html,
   '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')"""
-_ENTITIES = f"""replace(replace(replace(replace(replace(replace({_STRIP}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'),
-  '&quot;', '"'), '&#39;', ''''), '&amp;', '&')"""
+# the references that occur in the pages, by their characters; an ampersand comes last, with or without semicolon
+_ENTITIES = _STRIP
+for _name, _char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&#39;", "''")):
+    _ENTITIES = f"replace({_ENTITIES}, '{_name}', '{_char}')"
+_ENTITIES = f"regexp_replace({_ENTITIES}, '&amp;?', '&', 'g')"
 _PAGE_TEXT = rf"trim(regexp_replace({_ENTITIES}, '[ \t\r\n\f]+', ' ', 'g'))"
 
 
@@ -80,8 +83,15 @@ def normalised_turns(spark, sf):
     )
 
 
+def _pad(byte: int) -> str:
+    return "'" + "".join(f"\\x{b ^ byte:02X}" for b in b"key".ljust(64, b"\0")) + "'::BLOB"
+
+
+_TOKEN = f"sha256({_pad(0x5C)} || unhex(sha256({_pad(0x36)} || encode(source))))"
+
+
 @query(r"""SELECT doc_id, regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', '<email>', 'g'),
-  '\+?[0-9][0-9 .()-]{7,}[0-9]', '<number>', 'g') AS text, sha256('key' || source) AS source_token FROM documents""")
+  '\+?[0-9][0-9 .()-]{7,}[0-9]', '<number>', 'g') AS text, """ + _TOKEN + " AS source_token FROM documents")
 def masked_documents(spark, sf):
     return load(spark, sf, "documents").select(
         "doc_id", mask_personal(F.col("text")).alias("text"), keyed_token(F.col("source"), "key").alias("source_token")

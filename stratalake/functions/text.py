@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import html
 import unicodedata
 
 import pandas as pd
@@ -45,14 +47,21 @@ def windows_of(text: Column, size: int, overlap: int = 0) -> Column:
     return F.when(last_is_tail, F.slice(whole, F.lit(1), F.size(whole) - 1)).otherwise(whole)
 
 
-def strip_html(html: Column) -> Column:
+def strip_html(page: Column) -> Column:
     """Visible text of a page: scripts, styles and comments go, tags become blanks (O-15)."""
-    text = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
+    text = F.regexp_replace(page, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
     text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
     text = F.regexp_replace(text, r"(?s)<[^>]*>", " ")
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return squeeze_blanks(text)
+    return squeeze_blanks(decode_entities(text))
+
+
+@F.pandas_udf(T.StringType())
+def decode_entities(text: pd.Series) -> pd.Series:
+    """Named and numeric character references as characters; no-break spaces become blanks.
+
+    Spark has no built-in for the names of the HTML standard, so Arrow batches go through the standard library.
+    """
+    return text.map(lambda s: html.unescape(s).replace("\xa0", " "), na_action="ignore")
 
 
 def squeeze_blanks(text: Column) -> Column:
@@ -73,5 +82,11 @@ def mask_personal(text: Column) -> Column:
 
 
 def keyed_token(value: Column, secret: str) -> Column:
-    """Pseudonym that only the holder of ``secret`` can reproduce (C-4)."""
-    return F.sha2(F.concat(F.lit(secret), value), 256)
+    """Pseudonym that only the holder of ``secret`` can reproduce: HMAC-SHA-256 in hex (C-4).
+
+    Only the two padded keys are literals of the plan, not the secret itself.
+    """
+    key = secret.encode()
+    key = (hashlib.sha256(key).digest() if len(key) > 64 else key).ljust(64, b"\0")
+    inner, outer = (F.lit(bytearray(b ^ pad for b in key)) for pad in (0x36, 0x5C))
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, F.encode(value, "UTF-8")), 256))), 256)

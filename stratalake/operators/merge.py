@@ -109,14 +109,20 @@ def merge(
     return result if keep_action else result.drop(ACTION)
 
 
-def merge_metrics(merged: DataFrame) -> DataFrame:
-    """Rows updated, inserted, copied and written by a merge run with ``keep_action`` (T-5)."""
-    return merged.agg(
-        F.count_if(F.col(ACTION) == "update").alias("rows_updated"),
-        F.count_if(F.col(ACTION) == "insert").alias("rows_inserted"),
-        F.count_if(F.col(ACTION) == "copy").alias("rows_copied"),
+def merge_counts() -> list[Column]:
+    """Rows updated, inserted, copied and written by a merge run with ``keep_action``, as aggregates."""
+    done = F.col(ACTION)
+    return [
+        F.count_if(done == "update").alias("rows_updated"),
+        F.count_if(done == "insert").alias("rows_inserted"),
+        F.count_if(done == "copy").alias("rows_copied"),
         F.count(F.lit(1)).alias("rows_written"),
-    )
+    ]
+
+
+def merge_metrics(merged: DataFrame) -> DataFrame:
+    """The counts of a merge as one row (T-5)."""
+    return merged.agg(*merge_counts())
 
 
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:

@@ -27,6 +27,10 @@ class Dice:
         bits = F.shiftrightunsigned(F.xxhash64(*self._of, *more, F.lit(f"{self._seed}/{name}")), 11)
         return bits / F.lit(float(1 << 53))
 
+    def unit_of(self, name: str, row: Column) -> Column:
+        """The draw of another row, in a table whose draws go by one column."""
+        return F.shiftrightunsigned(F.xxhash64(row, F.lit(f"{self._seed}/{name}")), 11) / F.lit(float(1 << 53))
+
     def between(self, name: str, low: int, high: int) -> Column:
         """Whole number from ``low`` to ``high``, both included."""
         return (F.floor(self.unit(name) * (high - low + 1)) + low).cast("long")
@@ -67,7 +71,11 @@ def call_log(spark: SparkSession, rows: int, seed: int = 42, start: str = "2026-
     latency = F.greatest(F.lit(50), (mean / 800 * F.col("output") + spread * d.normal("latency")).cast("int"))
     back = F.floor(d.unit("retry of") * F.least(F.col("id"), F.lit(s.RETRY_REACH))) + 1
     retry = (F.col("id") > 0) & (d.unit("retry") < s.RETRY_RATE)
-    source_row = F.when(retry, F.col("id") - back).otherwise(F.col("id"))
+    # a retry repeats an original: the first rows of its reach, one back at a time, that are no retries themselves
+    is_retry = lambda row: (row > 0) & (d.unit_of("retry", row) < s.RETRY_RATE)
+    tries = F.transform(F.sequence(F.lit(0), F.lit(40)), lambda i: F.greatest(F.lit(0).cast("long"), F.col("id") - back - i))
+    original = F.coalesce(F.get(F.filter(tries, lambda row: ~is_retry(row)), 0), F.lit(0).cast("long"))
+    source_row = F.when(retry, original).otherwise(F.col("id"))
     body = F.struct(
         "model", "user_id", F.struct("input", "output").alias("usage"), latency.alias("latency_ms"), "status"
     )

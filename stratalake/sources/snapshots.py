@@ -15,12 +15,12 @@ from datetime import datetime, timedelta, timezone
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators.layout import cluster, coalesce_to_size, file_stats
-from stratalake.operators.merge import ACTION, delete_where, merge, merge_metrics
+from stratalake.operators.merge import ACTION, delete_where, merge, merge_counts, merge_metrics
 
 COMMITS = T.StructType(
     [
@@ -37,6 +37,9 @@ COMMITS = T.StructType(
 )
 
 
+MANY_FILES = 10_000
+
+
 class SchemaMismatch(ValueError):
     """A write does not fit the schema of its table."""
 
@@ -48,6 +51,18 @@ class NoSuchVersion(ValueError):
 # ── commits ─────────────────────────────────────────────────────────────────────────────────────
 
 
+def _at(spark: SparkSession, folder: str):
+    """File system and path of a folder; Spark has no calls of its own for single files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _names(spark: SparkSession, folder: str) -> list[tuple[str, bool]]:
+    """Names in a folder and whether each is a folder; empty if there is no such folder."""
+    fs, path = _at(spark, folder)
+    return [(x.getPath().getName(), x.isDirectory()) for x in fs.listStatus(path)] if fs.exists(path) else []
+
+
 def commits(spark: SparkSession, path: str) -> DataFrame:
     """All commit rows; empty for a table that does not exist."""
     try:
@@ -59,17 +74,33 @@ def commits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _commit_row(spark: SparkSession, path: str, version: int | None = None) -> Row | None:
-    rows = commits(spark, path)
-    if version is not None:
-        rows = rows.where(F.col("version") == version)
-    found = rows.orderBy(F.desc("version")).limit(1).collect()
-    return found[0] if found else None
+    """One commit row; its file is found by name, so no other commit is read."""
+    names = {name for name, _ in _names(spark, f"{path}/commits") if name.startswith("version=")}
+    name = max(names, default=None) if version is None else _commit_name(version)
+    if name not in names:
+        return None
+    fs, file = _at(spark, f"{path}/commits/{name}")
+    stream = fs.open(file)
+    try:
+        found = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return Row(**{f.name: found.get(f.name) for f in COMMITS} | {"ts": datetime.fromisoformat(found["ts"])})
+
+
+def _commit_name(version: int) -> str:
+    return f"version={version:012d}.json"
 
 
 def _existing(spark: SparkSession, path: str, version: int | None = None) -> Row:
     row = _commit_row(spark, path, version)
     if row is None:
         raise NoSuchVersion(f"{path}: version {version if version is not None else '(latest)'}")
+    if version is not None:
+        for folder in row.dirs:
+            fs, place = _at(spark, f"{path}/data/{folder}")
+            if not fs.exists(place):
+                raise NoSuchVersion(f"{path}: version {version} was vacuumed")
     return row
 
 
@@ -85,18 +116,27 @@ def _write_commit(
     batch_id: str | None = None,
     ranged: Sequence[str] = (),
 ) -> int:
-    row = (
-        version,
-        datetime.now(timezone.utc),
-        operation,
-        json.dumps(_nullable(schema.jsonValue())) if schema is not None else None,
-        list(partition_by),
-        list(dirs),
-        dict(metrics or {}),
-        batch_id,
-        list(ranged),
-    )
-    spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").json(f"{path}/commits")
+    row = {
+        "version": version,
+        "ts": datetime.now(timezone.utc).isoformat(),
+        "operation": operation,
+        "schema_json": json.dumps(_nullable(schema.jsonValue())) if schema is not None else None,
+        "partition_by": list(partition_by),
+        "dirs": list(dirs),
+        "metrics": dict(metrics or {}),
+        "batch_id": batch_id,
+        "ranged": list(ranged or ()),
+    }
+    # hidden until it is whole
+    fs, file = _at(spark, f"{path}/commits/{_commit_name(version)}")
+    _, part = _at(spark, f"{path}/commits/.{_commit_name(version)}")
+    stream = fs.create(part, True)
+    try:
+        stream.write(bytearray(json.dumps(row).encode()))
+    finally:
+        stream.close()
+    if not fs.rename(part, file):
+        raise RuntimeError(f"{path}: version {version} is there already")
     return version
 
 
@@ -189,24 +229,34 @@ def write_table(
     """Write a new version and return its number (S3, S4, S8, S15).
 
     ``mode`` is overwrite or append. The schema must match the table unless ``schema_mode`` is
-    ``merge`` (add columns) or ``overwrite`` (replace the schema). ``files`` fixes the file count.
+    ``merge`` (add columns) or ``overwrite`` (replace the schema). ``files`` fixes the file count. A
+    ``batch_id`` that was committed before makes the call a no-op.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be 'overwrite' or 'append', got {mode!r}")
     spark = df.sparkSession
     head = _commit_row(spark, path)
+    if _committed(spark, path, batch_id):
+        return head.version
     version = head.version + 1 if head else 0
-    schema, kept = df.schema, []
+    schema, kept, ranged = df.schema, [], []
     if head and head.schema_json:
         if mode == "append" and schema_mode == "overwrite":
             raise ValueError("schema_mode='overwrite' needs mode='overwrite'")
         schema = _fitting_schema(_schema(head), df.schema, schema_mode)
         partition_by = partition_by or head.partition_by
+        ranged = [c for c in head.ranged or [] if c in schema.names]
         if mode == "append":
             kept = head.dirs
     dirs = _write_files(df, path, version, partition_by, files)
+    _write_ranges(spark, path, version, schema, dirs, ranged)
     name = operation or ("APPEND" if mode == "append" else "OVERWRITE")
-    return _write_commit(spark, path, version, name, schema, partition_by, [*kept, *dirs], metrics, batch_id)
+    return _write_commit(spark, path, version, name, schema, partition_by, [*kept, *dirs], metrics, batch_id, ranged)
+
+
+def _committed(spark: SparkSession, path: str, batch_id: str | None) -> bool:
+    """Whether a batch of that id was written before."""
+    return batch_id is not None and bool(commits(spark, path).where(F.col("batch_id") == batch_id).limit(1).count())
 
 
 def drop_table(spark: SparkSession, path: str) -> int:
@@ -294,26 +344,43 @@ def version_counts(spark: SparkSession, path: str, versions: Sequence[int]) -> D
 
 
 def restore(spark: SparkSession, path: str, version: int) -> int:
-    """Make ``version`` current again as a new version; no data is copied (T-8)."""
+    """Make ``version`` current again as a new version; no data is copied (T-8).
+
+    Raises ``NoSuchVersion`` if its files were vacuumed.
+    """
     old, head = _existing(spark, path, version), _existing(spark, path)
     return _write_commit(
-        spark, path, head.version + 1, "RESTORE", _schema(old), old.partition_by, old.dirs, {"restored": version}
+        spark, path, head.version + 1, "RESTORE", _schema(old), old.partition_by, old.dirs, {"restored": version}, None, old.ranged
     )
 
 
-def _touched(rows: DataFrame, head: Row) -> tuple[list[str], list[str]]:
-    """Folders of the table that hold any of ``rows``, and the other folders.
+def _touched(rows: DataFrame, head: Row) -> tuple[list[str], list[str], int]:
+    """Folders of the table that hold any of ``rows``, the other folders, and the number of such rows.
 
-    Only folder names reach the driver, at most one per partition and snapshot.
+    Only folder names and counts reach the driver, at most one per partition and snapshot.
     """
-    hit = {_unescape(r.d) for r in rows.select(_folder("_file").alias("d")).distinct().collect()}
-    return [d for d in head.dirs if d in hit], [d for d in head.dirs if d not in hit]
+    hit = {_unescape(r.d): r.n for r in rows.groupBy(_folder("_file").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [d for d in head.dirs if d in hit], [d for d in head.dirs if d not in hit], sum(hit.values())
 
 
 def _delete_folder(spark: SparkSession, folder: str) -> None:
-    """Spark has no call that removes files, so this one goes to the file system of the path."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    fs, path = _at(spark, folder)
+    fs.delete(path, True)
+
+
+def _merge_schema(table: T.StructType, source: T.StructType, schema_mode: str | None, matched, not_matched) -> T.StructType:
+    """Schema after a merge: types must agree; new and missing columns need ``schema_mode="merge"``.
+
+    With listed assignments the source may have further columns, which they use; without inserts it may
+    leave columns out.
+    """
+    if schema_mode not in (None, "merge"):
+        raise ValueError(f"schema_mode must be None or 'merge', got {schema_mode!r}")
+    listed = matched is not None and not isinstance(matched, str)
+    fields = [f for f in source if not listed or f.name in table.names]
+    if not_matched != "insert":
+        fields += [f for f in table if f.name not in source.names]
+    return _fitting_schema(table, T.StructType(fields), schema_mode)
 
 
 def merge_table(
@@ -321,20 +388,23 @@ def merge_table(
     path: str,
     on: Sequence[str],
     batch_id: str | None = None,
+    schema_mode: str | None = None,
     **options,
 ) -> int:
     """``merge`` into the table as a new version; the commit carries the row counts (T-1 to T-5).
 
-    The source is staged beside the table first: it is computed once, and the folder search, the rewrite
-    and the counts all see the same rows even if a lost executor forces a recomputation. Only folders
-    that hold a matched key are rewritten; a key-only semi join finds them. A ``batch_id`` that was
-    committed before makes the call a no-op, which makes streaming retries safe (R-3).
+    The source is staged beside the table first: it is computed once, and the folder search and the rewrite
+    see the same rows even if a lost executor forces a recomputation. Only folders that hold a matched key
+    are rewritten; a key-only semi join finds them. The counts are observed while the files are written. The
+    source must fit the table's schema unless ``schema_mode`` is ``merge`` (add columns). A ``batch_id`` that
+    was committed before makes the call a no-op, which makes streaming retries safe (R-3).
     """
     spark = source.sparkSession
     head = _existing(spark, path)
-    if batch_id is not None and commits(spark, path).where(F.col("batch_id") == batch_id).limit(1).count():
+    if _committed(spark, path, batch_id):
         return head.version
-    schema, version = _schema(head), head.version + 1
+    schema = _merge_schema(_schema(head), source.schema, schema_mode, options.get("matched", "all"), options.get("not_matched", "insert"))
+    version = head.version + 1
     staging = f"{path}/staging/version={version}"
     source.write.mode("overwrite").parquet(staging)
     staged = spark.read.schema(source.schema).parquet(staging)
@@ -342,17 +412,22 @@ def merge_table(
     keys = _read_dirs(spark, path, schema, head.dirs)
     if len(head.dirs) > 1:
         keys = keys.select(*on, F.col("_metadata.file_path").alias("_file"))
-        rewrite, keep = _touched(keys.join(staged.select(*on), list(on), "left_semi"), head)
+        rewrite, keep, _ = _touched(keys.join(staged.select(*on), list(on), "left_semi"), head)
     else:
         rewrite, keep = head.dirs, []
     # every matched key lives in a rewritten folder, so a source row without a match there has none at all
     base = _read_dirs(spark, path, schema, rewrite).select(*schema.names)
     merged = merge(base, staged, on, keep_action=True, **options)
-    dirs = _write_files(merged.drop(ACTION), path, version, head.partition_by, None)
-    # only keys and the action are read again for the counts
-    counts = merge_metrics(merged).first().asDict()
+    if rewrite:
+        seen = Observation()
+        dirs = _write_files(merged.observe(seen, *merge_counts()).drop(ACTION), path, version, head.partition_by, None)
+        counts = seen.get
+    else:  # inserts alone; a plan that Spark finds to be empty observes nothing
+        dirs = _write_files(merged.drop(ACTION), path, version, head.partition_by, None)
+        counts = merge_metrics(merged).first().asDict()
+    _write_ranges(spark, path, version, schema, dirs, head.ranged)
     done = _write_commit(
-        spark, path, version, "MERGE", schema, head.partition_by, [*keep, *dirs], counts, batch_id
+        spark, path, version, "MERGE", schema, head.partition_by, [*keep, *dirs], counts, batch_id, head.ranged
     )
     _delete_folder(spark, staging)
     return done
@@ -365,15 +440,15 @@ def delete_rows(spark: SparkSession, path: str, predicate: Column) -> int:
     hit = _read_dirs(spark, path, schema, head.dirs).where(predicate).select(
         F.col("_metadata.file_path").alias("_file")
     )
-    rewrite, keep = _touched(hit, head)
+    rewrite, keep, deleted = _touched(hit, head)
     version = head.version + 1
-    if not rewrite:
-        return _write_commit(spark, path, version, "DELETE", schema, head.partition_by, keep, {"rows_deleted": 0})
-    base = _read_dirs(spark, path, schema, rewrite).select(*schema.names)
-    deleted = base.where(predicate).count()
-    dirs = _write_files(delete_where(base, predicate), path, version, head.partition_by, None)
+    dirs = []
+    if rewrite:
+        base = _read_dirs(spark, path, schema, rewrite).select(*schema.names)
+        dirs = _write_files(delete_where(base, predicate), path, version, head.partition_by, None)
+        _write_ranges(spark, path, version, schema, dirs, head.ranged)
     return _write_commit(
-        spark, path, version, "DELETE", schema, head.partition_by, [*keep, *dirs], {"rows_deleted": deleted}
+        spark, path, version, "DELETE", schema, head.partition_by, [*keep, *dirs], {"rows_deleted": deleted}, None, head.ranged
     )
 
 
@@ -409,7 +484,10 @@ def overwrite_partitions(df: DataFrame, path: str) -> int:
     dirs = _write_files(df, path, version, head.partition_by, None)
     replaced = {d.split("/", 1)[1] for d in dirs}
     keep = [d for d in head.dirs if d.split("/", 1)[1] not in replaced]
-    return _write_commit(spark, path, version, "OVERWRITE PARTITIONS", schema, head.partition_by, [*keep, *dirs])
+    _write_ranges(spark, path, version, schema, dirs, head.ranged)
+    return _write_commit(
+        spark, path, version, "OVERWRITE PARTITIONS", schema, head.partition_by, [*keep, *dirs], ranged=head.ranged
+    )
 
 
 # ── layout and retention ────────────────────────────────────────────────────────────────────────
@@ -437,9 +515,8 @@ def optimize(
         dirs = _write_files(df, path, version, head.partition_by, None)
     else:
         dirs = _write_as_is(df, path, version, head.partition_by)
-    if cluster_by:
-        ranges = file_stats(_read_dirs(spark, path, _schema(head), dirs), cluster_by)
-        ranges.coalesce(1).write.mode("overwrite").parquet(f"{path}/ranges/version={version}")
+    ranged = list(cluster_by) or head.ranged
+    _write_ranges(spark, path, version, _schema(head), dirs, ranged)
     return _write_commit(
         spark,
         path,
@@ -449,18 +526,30 @@ def optimize(
         head.partition_by,
         dirs,
         {"files_before": stats.files},
-        ranged=cluster_by,
+        ranged=ranged,
     )
 
 
+def _write_ranges(spark: SparkSession, path: str, version: int, schema: T.StructType, dirs: Sequence[str], cols: Sequence[str] | None) -> None:
+    """Keep the value ranges of the new files of a version, for tables that were clustered once."""
+    if cols and dirs:
+        file_stats(_read_dirs(spark, path, schema, dirs), cols).write.mode("overwrite").parquet(f"{path}/ranges/snap={version}")
+
+
 def _file_ranges(spark: SparkSession, path: str, cols: Sequence[str], row: Row) -> DataFrame:
+    """Ranges of all files of a version: one kept table per snapshot folder that it lists."""
     schema = _schema(row)
-    if not set(cols) <= set(row.ranged or []):
+    if not row.dirs or not set(cols) <= set(row.ranged or []):
         return file_stats(_read_dirs(spark, path, schema, row.dirs), cols)
     fields = [T.StructField("file", T.StringType()), T.StructField("rows", T.LongType())]
     for c in cols:
         fields += [T.StructField(f"{end}_{c}", schema[c].dataType) for end in ("min", "max")]
-    return spark.read.schema(T.StructType(fields)).parquet(f"{path}/ranges/version={row.version}")
+    snaps = sorted({d.split("/", 1)[0] for d in row.dirs})
+    kept = spark.read.schema(T.StructType(fields)).parquet(*[f"{path}/ranges/{x}" for x in snaps])
+    if not any("/" in d for d in row.dirs):
+        return kept
+    listed = spark.createDataFrame([(d,) for d in row.dirs], "_dir string")  # a merge leaves some folders of a snapshot
+    return kept.withColumn("_dir", F.url_decode(_folder("file"))).join(listed, "_dir", "left_semi").drop("_dir")
 
 
 def file_ranges(spark: SparkSession, path: str, cols: Sequence[str], version: int | None = None) -> DataFrame:
@@ -475,9 +564,11 @@ def read_pruned(spark: SparkSession, path: str, column: str, value) -> DataFrame
     may = _file_ranges(spark, path, [column], row).where(
         (F.col(f"min_{column}") <= F.lit(value)) & (F.col(f"max_{column}") >= F.lit(value))
     )
-    files = [_unescape(r.file) for r in may.select("file").collect()]
+    files = [_unescape(r.file) for r in may.select("file").limit(MANY_FILES + 1).collect()]
     if not files:
         return spark.createDataFrame([], schema)
+    if len(files) > MANY_FILES:  # too many names for the driver: the value is nearly everywhere
+        return read_table(spark, path).where(F.col(column) == F.lit(value))
     found = spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*files)
     return found.where(F.col(column) == F.lit(value)).select(*schema.names)
 
@@ -494,17 +585,28 @@ def vacuum_candidates(spark: SparkSession, path: str, retain: timedelta, as_of:
     return marked.groupBy("dir").agg(F.max("_kept").alias("kept")).where(~F.col("kept")).select("dir")
 
 
+def _on_disk(spark: SparkSession, path: str, folder: str = "") -> list[str]:
+    """Data folders that hold files, relative to ``data``, whether or not a commit lists them."""
+    names = _names(spark, f"{path}/data/{folder}")
+    below = [x for name, is_folder in names if is_folder and not name.startswith(("_", ".")) for x in _on_disk(spark, path, f"{folder}/{name}".lstrip("/"))]
+    return below if below or not folder else [folder]
+
+
 def vacuum(
     spark: SparkSession, path: str, retain: timedelta, as_of: datetime | None = None, dry_run: bool = True
 ) -> list[str]:
     """Folders to delete; deletes them and their file ranges unless ``dry_run`` (T-14).
 
-    Versions that list a deleted folder can no longer be read.
+    All folders on disk count, so what a failed write left goes as well, and so do staged merge sources. Versions
+    that list a deleted folder can no longer be read.
     """
     as_of = as_of or datetime.now(timezone.utc)
-    dirs = sorted(r.dir for r in vacuum_candidates(spark, path, retain, as_of).collect())
+    kept = _vacuumed(spark, path, retain, as_of).where("_kept").select(F.explode("dirs").alias("d")).distinct()
+    kept = {r.d for r in kept.collect()}
+    dirs = sorted(d for d in _on_disk(spark, path) if d not in kept)
     if not dry_run:
-        old = _vacuumed(spark, path, retain, as_of).where(~F.col("_kept")).select("version").collect()
-        for folder in [f"data/{d}" for d in dirs] + [f"ranges/version={r.version}" for r in old]:
+        snaps = {d.split("/", 1)[0] for d in kept}
+        old = [name for name, _ in _names(spark, f"{path}/ranges") if name not in snaps]
+        for folder in [f"data/{d}" for d in dirs] + [f"ranges/{n}" for n in old] + ["staging"]:
             _delete_folder(spark, f"{path}/{folder}")
     return dirs

@@ -28,11 +28,14 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Merge every micro-batch into the table at ``path``, which must exist (R-1, R-3, R-5).
 
-    The commit carries the batch id, so a batch that is replayed after a failure changes nothing.
+    The commit carries the id of the checkpoint's query and of the batch, so a batch that is replayed after a
+    failure changes nothing, and a new checkpoint, which counts its batches from 0 again, loses nothing.
     """
+    spark = stream.sparkSession
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        snapshots.merge_table(transform(batch), path, on, batch_id=f"{name}:{batch_id}", **merge_options)
+        run = spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
+        snapshots.merge_table(transform(batch), path, on, batch_id=f"{name}:{run}:{batch_id}", **merge_options)
 
     writer = stream.writeStream.foreachBatch(apply).outputMode(output_mode).option("checkpointLocation", checkpoint)
     return writer.queryName(name).trigger(**(trigger or EVERY_FIVE_MINUTES)).start()

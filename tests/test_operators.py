@@ -189,7 +189,7 @@ def brute_knn(ids, m, k, exclude_self):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0, "query_rows": 20, "vector_rows": 17}, {"broadcast_bytes": 0}])
+@pytest.mark.parametrize("options", [{}, {"query_rows": 20, "vector_rows": 17}])
 @pytest.mark.parametrize("exclude_self", [True, False])
 def test_knn(spark, options, exclude_self):
     rng = np.random.default_rng(0)
@@ -204,7 +204,7 @@ def test_knn(spark, options, exclude_self):
 def test_knn_without_queries(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0])], "id long, vector array<float>")
     assert knn(df.where("id > 1"), df, 3).count() == 0
-    assert knn(df, df.where("id > 1"), 3, broadcast_bytes=0).count() == 0
+    assert knn(df, df.where("id > 1"), 3, vector_rows=1).count() == 0
 
 
 def test_cosine_of_zero_vector(spark):
