@@ -1,8 +1,8 @@
 """Registered queries and the SQL they are checked against."""
 
-from stratalake.catalog import layout, marts, mutation, relational, retrieval, streams, tables, text
+from stratalake.catalog import gold, layout, marts, mutation, relational, retrieval, streams, tables, text
 
-MODULES = (relational, mutation, text, retrieval, marts, tables, layout, streams)
+MODULES = (relational, mutation, text, retrieval, marts, tables, layout, streams, gold)
 
 
 def all_queries() -> dict:

@@ -10,7 +10,7 @@ from stratalake.functions.measures import error_rate, held, rounded, share
 from stratalake.functions.payload import parse_payload
 from stratalake.operators.dedup import first_per_key, top_k_per_key
 from stratalake.operators.joins import null_safe_join
-from stratalake.operators.percentiles import exact_percentiles
+from stratalake.operators.percentiles import percentile_columns, exact_percentiles
 from stratalake.plans.llm_calls import contract_checks, daily_metrics, price_list, rejected_calls, silver_calls
 from stratalake.sources.parquet import load, staged
 
@@ -105,6 +105,25 @@ def distinct_counts(spark, sf):
     )
 
 
+@query("SELECT event_type, TRUE AS users_close, TRUE AS payloads_close FROM events GROUP BY event_type")
+def approx_distinct_holds(spark, sf):
+    """Approximate distinct counts against exact ones: within five standard errors of one percent."""
+    close = lambda c: F.abs(F.approx_count_distinct(c, 0.01) - F.count_distinct(c)) <= F.count_distinct(c) * 0.05 + 1
+    return load(spark, sf, "events").groupBy("event_type").agg(close("user_id").alias("users_close"), close("props").alias("payloads_close"))
+
+
+@query("SELECT event_type, TRUE AS p50_close, TRUE AS p95_close FROM events GROUP BY event_type")
+def approx_percentile_holds(spark, sf):
+    """Approximate percentiles by the rank they have among all values: within half a percent."""
+    events = load(spark, sf, "events").select("event_type", "value")
+    wanted = {"p50": 0.5, "p95": 0.95}
+    points = events.groupBy("event_type").agg(*percentile_columns("value", wanted, exact=False))
+    below = {n: F.avg((F.col("value") < F.col(n)).cast("double")) for n in wanted}
+    upto = {n: F.avg((F.col("value") <= F.col(n)).cast("double")) for n in wanted}
+    close = [((below[n] <= p + 0.005) & (upto[n] >= p - 0.005)).alias(f"{n}_close") for n, p in wanted.items()]
+    return events.join(points, "event_type").groupBy("event_type").agg(*close)
+
+
 @query("SELECT lang, count(*) AS count FROM documents GROUP BY lang ORDER BY count DESC, lang")
 def value_counts(spark, sf):
     return load(spark, sf, "documents").groupBy("lang").count().orderBy(F.desc("count"), "lang")

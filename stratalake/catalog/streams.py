@@ -27,17 +27,19 @@ from stratalake.streaming import jobs
 registry = Registry()
 query = registry.query
 
+FILES_PER_TRIGGER = 2
+
 
 def _landed(spark, df):
-    """Bronze rows written to a landing folder, and the stream that picks them up in two batches.
+    """Bronze rows written to a landing folder, and the stream that picks them up two files at a time.
 
-    Four files at least; a larger table keeps the splits it has.
+    Four files at least; a larger table keeps the splits it has, and so takes more batches.
     """
     path = fresh_path(spark, "landing")
     files = df.rdd.getNumPartitions()
     spread = df if files >= 4 else df.repartition(4)
     spread.write.parquet(path)
-    return landing_stream(spark, path, df.schema, files_per_trigger=max(2, -(-files // 2)))
+    return landing_stream(spark, path, df.schema, files_per_trigger=FILES_PER_TRIGGER)
 
 
 @query(f"WITH {CALLS_SQL} SELECT * FROM silver")
@@ -158,3 +160,32 @@ def stream_document_chunks(spark, sf):
     jobs.run_once(run)
     columns = "chunk_id doc_id doc_version_hash chunk_index chunk_text char_count token_estimate".split()
     return snapshots.read_table(spark, path).select(*columns)
+
+
+_LATE = "INTERVAL '1 day'"
+
+
+@query(f"""WITH marks AS (SELECT max(ts) - {_LATE} AS mark FROM events WHERE event_id % 3 = 0)
+SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type AS tenant, count(*) AS calls FROM events, marks
+WHERE event_id % 3 < 2 OR time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' > mark GROUP BY 1, 2""")
+def stream_late_rows(spark, sf):
+    """Three batches of interleaved rows: what the third brings for windows behind the watermark is too late.
+
+    The watermark of the first batch holds for late rows from the third on.
+    """
+    events = load(spark, sf, "events").withColumnRenamed("event_type", "tenant")
+    path = fresh_path(spark, "landing")
+    files = events.rdd.getNumPartitions()
+    for turn in range(3):
+        events.where(F.col("event_id") % 3 == turn).repartition(files).write.mode("append").parquet(path)
+    stream = with_event_time(landing_stream(spark, path, events.schema, files_per_trigger=files))
+    windows = jobs.tumbling(stream, "event_time", "1 hour", ["tenant"], {"calls": F.count(F.lit(1))}, "1 day")
+    windows = windows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    target = fresh_path(spark, "hourly")
+    jobs.create_empty(windows, target)
+    run = jobs.upsert_stream(
+        windows, target, fresh_path(spark, "checkpoint"), ["window_start", "tenant"], "late_rows",
+        trigger=jobs.ONCE, output_mode="update", on_duplicate="trust",
+    )
+    jobs.run_once(run)
+    return snapshots.read_table(spark, target)

@@ -162,14 +162,26 @@ def merge_into_partitions(spark, sf):
     return snapshots.read_table(spark, path)
 
 
-@query("""SELECT tenant, CAST(sum(rows) AS BIGINT) AS rows FROM (SELECT event_type AS tenant, count(*) AS rows FROM events
-  WHERE event_type <> 'click' GROUP BY 1) GROUP BY tenant""")
+@query("""WITH e AS (SELECT event_type AS tenant, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1)
+SELECT 'events' AS entry, tenant, n AS rows FROM e WHERE tenant <> 'click'
+UNION ALL SELECT 'users', tenant, users FROM e WHERE tenant <> 'click'
+UNION ALL SELECT 'audit of events', 'click', n FROM e WHERE tenant = 'click'
+UNION ALL SELECT 'audit of users', 'click', users FROM e WHERE tenant = 'click'""")
 def erased_tenant(spark, sf):
-    path, audit = fresh_path(spark, "events"), fresh_path(spark, "audit")
-    events = load(spark, sf, "events").select(F.col("event_type").alias("tenant"), "event_id", "value")
-    snapshots.write_table(events, path, partition_by=["tenant"])
-    snapshots.erase(spark, [path], F.col("tenant") == "click", audit, "click", "privacy office")
-    return snapshots.read_table(spark, path).groupBy("tenant").agg(F.count(F.lit(1)).alias("rows"))
+    """One tenant goes from two tables; what is left of both, and what the audit says."""
+    paths = {name: fresh_path(spark, name) for name in ("events", "users")}
+    audit = fresh_path(spark, "audit")
+    events = load(spark, sf, "events").select(F.col("event_type").alias("tenant"), "event_id", "user_id", "value")
+    snapshots.write_table(events, paths["events"], partition_by=["tenant"])
+    snapshots.write_table(events.select("tenant", "user_id").distinct(), paths["users"])
+    snapshots.erase(spark, list(paths.values()), F.col("tenant") == "click", audit, "click", "privacy office")
+    out = snapshots.read_table(spark, audit)
+    named = F.when(F.col("path") == paths["events"], "audit of events").otherwise("audit of users")
+    out = out.select(named.alias("entry"), F.col("subject").alias("tenant"), F.col("rows_deleted").alias("rows"))
+    for name, path in paths.items():
+        left = snapshots.read_table(spark, path).groupBy("tenant").agg(F.count(F.lit(1)).alias("rows"))
+        out = out.unionByName(left.withColumn("entry", F.lit(name)))
+    return out
 
 
 @query("""SELECT day, sum(n)::BIGINT AS calls, CAST(round(CAST(sum(v) AS DECIMAL(38, 8)), 2) AS DOUBLE) AS total FROM (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os.path
 from collections.abc import Sequence
 
@@ -9,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_BITS = 6
 
 
 def coalesce_to_size(df: DataFrame, files: int) -> DataFrame:
@@ -28,13 +28,15 @@ def cluster(df: DataFrame, cols: Sequence[str], files: int, within: Sequence[str
     to few partitions. A hash of the row ends the key, so a value that holds a third of all rows is spread
     over several files and still stays together in range.
     """
-    order = F.col(cols[0]) if len(cols) == 1 else z_value(df, cols)
+    # cells several times finer than files, whatever their number
+    bits = max(4, math.ceil((math.log2(max(files, 1)) + 4) / len(cols)))
+    order = F.col(cols[0]) if len(cols) == 1 else z_value(df, cols, bits)
     marked = df.withColumn("_z", order)
     spread = marked.repartitionByRange(files, *within, "_z", F.xxhash64(*df.columns))
     return spread.sortWithinPartitions(*within, "_z").drop("_z")
 
 
-def z_value(df: DataFrame, cols: Sequence[str], bits: int = _BITS) -> Column:
+def z_value(df: DataFrame, cols: Sequence[str], bits: int) -> Column:
     """Interleaved bits of the rank bucket of each column.
 
     Buckets are cut at approximate quantiles, which balances them and moves at most ``2**bits`` numbers

@@ -549,7 +549,7 @@ def _file_ranges(spark: SparkSession, path: str, cols: Sequence[str], row: Row)
     if not any("/" in d for d in row.dirs):
         return kept
     listed = spark.createDataFrame([(d,) for d in row.dirs], "_dir string")  # a merge leaves some folders of a snapshot
-    return kept.withColumn("_dir", F.url_decode(_folder("file"))).join(listed, "_dir", "left_semi").drop("_dir")
+    return kept.withColumn("_dir", F.url_decode(F.replace(_folder("file"), F.lit("+"), F.lit("%2B")))).join(listed, "_dir", "left_semi").drop("_dir")
 
 
 def file_ranges(spark: SparkSession, path: str, cols: Sequence[str], version: int | None = None) -> DataFrame:
