@@ -6,7 +6,8 @@ has more than ``in_memory`` distinct values, the built-in finishes on the counts
 wanted rank is found by narrowing:
 
 1. values fall into logarithmic bins, whose number is bounded by the range of a double;
-2. the bin that holds the wanted rank is cut into equal cells and the cell that holds it is picked;
+2. the bin that holds the wanted rank is cut into equal cells between its least and its largest value and the cell
+   that holds the rank is picked, again and again while the cell has more values than one task may order;
 3. only the values of that cell are ordered.
 
 Every step is a partial aggregation or an equi join with the few picked bins. Nothing is sampled.
@@ -28,6 +29,8 @@ _CELLS = 4096
 _TOP_BIN = 2_000_000
 # distinct values of one group that may share a buffer
 IN_MEMORY = 100_000
+# distinct values of one cell that may be put in order by one task
+ORDERED = 10_000
 
 
 def _bin(v: Column) -> Column:
@@ -47,6 +50,7 @@ def exact_percentiles(
     keys: Sequence[str],
     wanted: Mapping[str, tuple[str, float]],
     in_memory: int = IN_MEMORY,
+    ordered: int = ORDERED,
 ) -> DataFrame:
     """One row per group with ``keys`` and one double per entry of ``wanted`` (A-8).
 
@@ -67,11 +71,11 @@ def exact_percentiles(
         ]
         out = counted.groupBy(*by).agg(*points)
     else:
-        out = _narrowed(counted, by, wanted)
+        out = _narrowed(counted, by, wanted, ordered)
     return out if keys else out.drop("_all")
 
 
-def _narrowed(counted: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]]) -> DataFrame:
+def _narrowed(counted: DataFrame, keys: Sequence[str], wanted: Mapping[str, tuple[str, float]], ordered: int) -> DataFrame:
     by = [*keys, "_col"]
     counted = counted.withColumn("_bin", _bin(F.col("_v")))
     bins = counted.groupBy(*by, "_bin").agg(
@@ -109,32 +113,19 @@ def _narrowed(counted: DataFrame, keys: Sequence[str], wanted: Mapping[str, tupl
         )
     )
 
-    width = F.col("_hi") - F.col("_lo")
-    cell = F.when(
-        (width > 0) & (width < F.lit(float("inf"))),
-        F.least(F.floor((F.col("_v") - F.col("_lo")) / width * _CELLS), F.lit(_CELLS - 1)),
-    ).otherwise(F.lit(0))
-    inside = null_safe_join(counted, picked, [*by, "_bin"]).withColumn("_cell", cell.cast("long")).drop("_lo", "_hi")
-
-    cells = inside.groupBy(*by, *ask_key, "_cell").agg(
-        F.sum("_n").alias("_n"), F.first("_rank").alias("_rank")
-    )
-    upto = Window.partitionBy(*by, *ask_key).orderBy("_cell").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    cells = (
-        cells.withColumn("_end", F.sum("_n").over(upto))
-        .where((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n")))
-        .select(*by, *ask_key, "_cell", (F.col("_rank") - (F.col("_end") - F.col("_n"))).alias("_rest"))
-    )
+    ask = [*by, *ask_key]
+    inside = staged(null_safe_join(counted, picked.drop("_lo", "_hi"), [*by, "_bin"]).select(*ask, "_v", "_n", "_rank", "_frac"), "inside")
+    while True:
+        ends = staged(
+            inside.groupBy(*ask).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_values")), "ends"
+        )
+        if (ends.agg(F.max("_values")).first()[0] or 0) <= ordered:
+            break
+        inside = staged(_one_cell(inside, ends, ask), "inside")
 
-    upto = Window.partitionBy(*by, *ask_key).orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    found = (
-        null_safe_join(inside.drop("_rank"), cells, [*by, *ask_key, "_cell"])
-        .withColumn("_end", F.sum("_n").over(upto))
-        .where((F.col("_rest") < F.col("_end")) & (F.col("_rest") >= F.col("_end") - F.col("_n")))
+    upto = Window.partitionBy(*ask).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = inside.withColumn("_end", F.sum("_n").over(upto)).where(
+        (F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n"))
     )
 
     def pick(name: str, up: bool, col: str) -> Column:
@@ -147,6 +138,23 @@ def _narrowed(counted: DataFrame, keys: Sequence[str], wanted: Mapping[str, tupl
     return found.groupBy(*keys).agg(*[interpolated(name).alias(name) for name in wanted])
 
 
+def _one_cell(inside: DataFrame, ends: DataFrame, ask: Sequence[str]) -> DataFrame:
+    """The values of the cell that holds the wanted rank, with the rank inside it.
+
+    The least and the largest value fall into different cells, so every round gets on.
+    """
+    width = F.col("_hi") - F.col("_lo")
+    cell = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * _CELLS), F.lit(_CELLS - 1))
+    marked = null_safe_join(inside, ends, ask).withColumn("_cell", F.when(width > 0, cell).otherwise(F.lit(0)).cast("long"))
+    cells = marked.groupBy(*ask, "_cell").agg(F.sum("_n").alias("_m"), F.first("_rank").alias("_r"))
+    upto = Window.partitionBy(*ask).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    start = F.col("_end") - F.col("_m")
+    cells = cells.withColumn("_end", F.sum("_m").over(upto)).where((F.col("_r") < F.col("_end")) & (F.col("_r") >= start))
+    cells = cells.select(*ask, "_cell", (F.col("_r") - start).alias("_rest"))
+    kept = null_safe_join(marked, cells, [*ask, "_cell"])
+    return kept.select(*ask, "_v", "_n", F.col("_rest").alias("_rank"), "_frac")
+
+
 def percentile_columns(value: str, wanted: Mapping[str, float], exact: bool = True) -> list[Column]:
     """Aggregate columns for values of a small, known domain, or approximate ones (A-8, A-9)."""
     if exact:

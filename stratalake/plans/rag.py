@@ -152,7 +152,12 @@ def eval_update(embeddings: DataFrame, events: DataFrame, updated_at: Column) ->
     source = hit_stats(events).withColumn("eval_updated_ts", updated_at)
     columns = ["retrieval_hit_count", "avg_relevance_score", "eval_updated_ts"]
     return merge(
-        embeddings, source, ["chunk_id"], matched={c: F.col(f"s.{c}") for c in columns}, not_matched=None
+        embeddings,
+        source,
+        ["chunk_id"],
+        matched={c: F.col(f"s.{c}") for c in columns},
+        not_matched=None,
+        on_duplicate="trust",  # one row per chunk by its aggregation
     )
 
 
@@ -198,7 +203,7 @@ def reembed(embeddings: DataFrame, batch: DataFrame, reset_eval: bool = False) -
     if reset_eval:
         for c in ("retrieval_hit_count", "avg_relevance_score", "eval_updated_ts"):
             assignments[c] = F.lit(None).cast(embeddings.schema[c].dataType)
-    return merge(embeddings, batch, ["chunk_id"], matched=assignments)
+    return merge(embeddings, batch, ["chunk_id"], matched=assignments, on_duplicate="trust")  # one row per chunk
 
 
 def pending_chunks(chunks: DataFrame, embeddings: DataFrame) -> DataFrame:

@@ -156,3 +156,16 @@ def test_character_references_and_keyed_tokens(spark):
     assert row[0] == "a &lt; b · © é 😀 é &unknown;"
     assert row[1] == hmac.new(b"key", b"x@y", hashlib.sha256).hexdigest()
     assert row[2] == hmac.new(b"long key " * 20, b"x@y", hashlib.sha256).hexdigest()
+
+
+def test_percentiles_of_a_narrow_cluster_with_an_outlier(spark):
+    from stratalake.operators.percentiles import exact_percentiles
+
+    rng = np.random.default_rng(5)
+    tiny = np.concatenate([rng.random(3000) * 1e-9, [1e-4, 5e8, float("inf"), -1.0]])
+    frame = spark.createDataFrame([("g", float(v)) for v in tiny] + [("h", 2.0)] * 5 + [(None, 1.0), (None, 3.0)], "k string, v double")
+    wanted = {"p10": ("v", 0.1), "p50": ("v", 0.5), "p99": ("v", 0.99)}
+    got = {r.k: r for r in exact_percentiles(frame, ["k"], wanted, in_memory=0, ordered=7).collect()}
+    for name, (_, p) in wanted.items():
+        assert np.isclose(got["g"][name], np.quantile(tiny, p), rtol=1e-12)
+    assert got["h"].p50 == 2.0 and got[None].p50 == 2.0
