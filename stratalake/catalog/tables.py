@@ -209,7 +209,7 @@ def rollback_drill(spark, sf):
         "vec_id", F.transform("embedding", lambda x: F.lit(0.0).cast("float")).alias("embedding"), "label"
     )
     changes = {"embedding": F.col("s.embedding"), "norm": F.lit(0.0)}
-    faulty = snapshots.merge_table(zero, path, ["vec_id"], matched=changes)
+    faulty = snapshots.merge_table(zero, path, ["vec_id"], matched=changes, not_matched=None)
     restored = snapshots.restore(spark, path, healthy)
 
     def zeros(state, version):
