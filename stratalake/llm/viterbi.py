@@ -13,6 +13,7 @@ its ids are those of the public library.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 from collections.abc import Iterator
@@ -20,11 +21,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from stratalake.llm.common import whole_text
+from stratalake.llm.common import unused, whole_text
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 KIND = "bpe"
@@ -33,11 +36,13 @@ UNKNOWN_PENALTY = 10.0  # fixed value of the public library: an uncovered charac
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _LENGTH = np.uint64(0xD6E8FEB86659FD93)
+_TOP = np.uint64(44)
 _ESCAPED = 0x110001  # stands for a space mark that the text itself holds
 _WORD = re.compile(r"\n| *[^ \n]+| +")
 _STEP = 300_000
-_CACHE = 300_000
-_PAIRS = 1 << 18
+_CACHE = 200_000
+_ROWS = 512
+_PAIRS = 1 << 20
 _NEVER = np.int64(1 << 40)
 
 
@@ -68,6 +73,7 @@ class Pieces:
     byte_ids: list[int]
     spelled: list[bytes]
     named: dict[str, int]
+    present: np.ndarray
     formed: np.ndarray = field(default=None)
     left: np.ndarray = field(default=None)
     right: np.ndarray = field(default=None)
@@ -103,7 +109,9 @@ class Pieces:
         keys, ids = keys[order], ids[order]
         if (keys[1:] == keys[:-1]).any():
             raise ValueError("two pieces have one key")
-        out = Pieces(kind, keys, ids, scores, sizes, hashes, int(sizes.max()), byte_ids, spelled, named)
+        present = np.zeros(1 << 20, bool)
+        present[(keys >> _TOP).astype(np.int32)] = True
+        out = Pieces(kind, keys, ids, scores, sizes, hashes, int(sizes.max()), byte_ids, spelled, named, present)
         if kind == "bpe":
             out._trace()
         return out
@@ -159,8 +167,12 @@ class Pieces:
     def find(self, hashes: np.ndarray, sizes: np.ndarray | int) -> np.ndarray:
         """Id of the piece with each hash and length, -1 where there is none."""
         probes = hashes + np.asarray(sizes, np.uint64) * _LENGTH
-        at = np.minimum(np.searchsorted(self.keys, probes), len(self.keys) - 1)
-        return np.where(self.keys[at] == probes, self.ids[at], -1)
+        out = np.full(probes.shape, -1, np.int32)
+        maybe = np.nonzero(self.present[(probes >> _TOP).astype(np.int32)])  # spares most searches
+        few = probes[maybe]
+        at = np.minimum(np.searchsorted(self.keys, few), len(self.keys) - 1)
+        out[maybe] = np.where(self.keys[at] == few, self.ids[at], -1)
+        return out
 
     def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging leaves the border between the pieces ``a`` and ``b`` standing."""
@@ -199,6 +211,7 @@ class Encoder:
     def __init__(self, pieces: Pieces) -> None:
         self.pieces = pieces
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pair_keys = np.full(_PAIRS, -1, np.int64)
         self.pair_apart = np.zeros(_PAIRS, bool)
 
@@ -217,11 +230,13 @@ class Encoder:
 
     def _encode(self, held: list[list[str]]) -> Iterator[np.ndarray]:
         if len(self.known) > _CACHE:
-            self.known = {}
-        known = self.known
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         by_size: dict[int, list[str]] = {}
         for word in {w for words in held for w in words if w not in known}:
-            if self.pieces.kind == "bpe" and word.startswith("  "):
+            if word in older:
+                known[word] = older[word]
+            elif self.pieces.kind == "bpe" and word.startswith("  "):
                 known[word] = self._spaces(word)  # pieces of several spaces have equal scores: the leftmost comes first
             else:
                 by_size.setdefault(len(word), []).append(word)
@@ -242,14 +257,14 @@ class Encoder:
 
     def _apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a.astype(np.int64) << 32 | b.astype(np.int64)
-        slot = ((key.astype(np.uint64) * _BASE) >> np.uint64(46)).astype(np.int64)
+        slot = ((key.astype(np.uint64) * _BASE) >> _TOP).astype(np.int64)
         out = self.pair_apart[slot]
         new = np.flatnonzero(self.pair_keys[slot] != key)
         if len(new):
             pairs, back = np.unique(key[new], return_inverse=True)
             found = self.pieces.apart((pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32))
             out[new] = found[back]
-            at = ((pairs.astype(np.uint64) * _BASE) >> np.uint64(46)).astype(np.int64)
+            at = ((pairs.astype(np.uint64) * _BASE) >> _TOP).astype(np.int64)
             self.pair_keys[at], self.pair_apart[at] = -1, False
             keep = np.unique(at, return_index=True)[1]  # of several pairs for one slot, one
             self.pair_keys[at[keep]], self.pair_apart[at[keep]] = pairs[keep], found[keep]
@@ -291,16 +306,31 @@ class Encoder:
                 w, k, found, scores = w[better], k[better], found[better], scores[better]
                 best[end, w] = scores
             last[end, w], step[end, w] = found, k
-        out = []
-        for text, row, ids in zip(words, step.T.tolist(), last.T.tolist()):
-            path, end = [], size
+        return self._traced(words, last, step)
+
+    def _traced(self, words: list[str], last: np.ndarray, step: np.ndarray) -> list[bytes]:
+        """Follow the back-pointers of all words at once, from the end; words with byte pieces are spelled out after."""
+        n, every = len(words), np.arange(len(words))
+        at, columns, spelled = np.full(n, len(step) - 1), [], np.zeros(n, bool)
+        count = np.zeros(n, np.int64)
+        while at.any():
+            live = at > 0
+            found = np.where(live, last[at, every], 0)
+            spelled |= found < 0
+            columns.append(found)
+            count += live
+            at = np.where(live, at - step[at, every], 0)
+        width = len(columns)
+        path = np.ascontiguousarray(np.stack(columns[::-1], axis=1), np.int32)  # right-aligned
+        flat = path.tobytes()
+        out = [flat[(w * width + width - c) * 4 : (w + 1) * width * 4] for w, c in enumerate(count.tolist())]
+        for w in np.flatnonzero(spelled).tolist():
+            ids, end = [], len(step) - 1
             while end:
-                if ids[end] >= 0:
-                    path.append(ids[end])
-                else:
-                    path += reversed(pieces.spell(text[end - 1]))
-                end -= row[end]
-            out.append(np.array(path[::-1], np.int32).tobytes())
+                piece = int(last[end, w])
+                ids += [piece] if piece >= 0 else reversed(self.pieces.spell(words[w][end - 1]))
+                end -= int(step[end, w])
+            out[w] = np.array(ids[::-1], np.int32).tobytes()
         return out
 
 
@@ -310,17 +340,35 @@ def decode_ids(ids, spelled: list[bytes]) -> str:
     return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, path: str = MODEL, kind: str = KIND, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the piece ids of the whole ``text`` in ``ids`` (replaced if there); null is empty."""
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = _ROWS) -> Iterator[pa.RecordBatch]:
+    """Small parts of the batches, so that a worker holds few texts and ids at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _lists(values: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, values)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *values])))
+
+
+def encode(docs: DataFrame, path: str = MODEL, kind: str = KIND, text: str = "text", ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all) and the piece ids of the whole ``text`` in ``ids`` (replaced if there).
+
+    Null and empty texts have no ids; rows may repeat; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(Pieces.load(path, kind))  # bounded by the vocabulary
+    carried = docs.select(*[F.col(c) for c in (docs.columns if keep is None else keep) if c.lower() != ids.lower()])
+    schema = StructType([*carried.schema.fields, StructField(ids, ArrayType(IntegerType()))])
+    names = schema.names
 
-    @F.pandas_udf("array<int>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
-        for texts in batches:
-            yield pd.Series(list(encoder.encode(texts)), dtype=object)
+        for part in _parts(batches):
+            *columns, texts = part.columns
+            yield pa.RecordBatch.from_arrays([*columns, _lists(list(encoder.encode(texts.to_pylist())))], names=names)
 
-    return docs.withColumn(ids, of(whole_text(text)))
+    return docs.select(*carried.columns, whole_text(text).alias(unused(carried, "_text"))).mapInArrow(code, schema)
 
 
 def decode(docs: DataFrame, path: str = MODEL, kind: str = KIND, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -340,12 +388,20 @@ def encoded_documents(docs: DataFrame, path: str = MODEL, kind: str = KIND) -> D
     ``decoded_sha256`` is of the text decoded from the ids again, ``restored`` whether it is the text itself.
     Null and empty texts have no ids. Rows may repeat; extra columns are ignored; an empty table gives no rows.
     """
-    coded = encode(docs.select("doc_id", whole_text().alias("text")), path, kind)
-    back = decode(coded, path, kind, text="decoded")
-    return back.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == F.col("text")).alias("restored"),
-    )
+    shared = docs.sparkSession.sparkContext.broadcast(Pieces.load(path, kind))  # bounded by the vocabulary
+    names = ["doc_id", "n_tokens", "ids", "decoded_sha256", "restored"]
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, spelled = Encoder(shared.value), shared.value.spelled
+        for part in _parts(batches):
+            texts = part.column(1).to_pylist()
+            ids = list(encoder.encode(texts))
+            back = [decode_ids(i.tolist(), spelled) for i in ids]
+            digests = [hashlib.sha256(b.encode("utf-8", "surrogatepass")).hexdigest() for b in back]
+            same = [b == t for b, t in zip(back, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([len(i) for i in ids], pa.int64()), _lists(ids), pa.array(digests, pa.string()), pa.array(same, pa.bool_())], names=names
+            )
+
+    schema = "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string, restored boolean"
+    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(code, schema)
