@@ -142,5 +142,5 @@ FROM (SELECT *, least((start + size / 2.0) / target, 1.0) AS done FROM q)
 @registry.query(MIX_SQL)
 def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(load(spark, sf_dir, "documents"))
-    placed = plan.withColumn("position", mixing.position_of_copy(F.lit(0))).orderBy(F.col("position").asc_nulls_last())
+    placed = plan.withColumn("position", mixing.position_of_copy(F.lit(0))).orderBy(F.col("position").asc_nulls_last(), "doc_id")
     return placed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "copies", "taken", "position")
