@@ -60,29 +60,36 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
         role.alias("role"),
         text.alias("text"),
         F.length(marked).alias("head"),
-        F.concat(marked, escape(text), F.lit(END)).alias("piece"),
-    ).withColumns({"tokens": F.ceil(F.length("piece") / CHARS_PER_TOKEN), "one": F.lit(1).cast("long")})
-    placed = staged(running_sums(rows, _KEY, "cell", ["turn", "role", "text"], {"start": "tokens", "n": "one"}).drop("turn", "text", "one"), "turns")
+        F.ceil((F.length(marked) + F.length(escape(text)) + len(END)) / CHARS_PER_TOKEN).alias("tokens"),
+        F.lit(1).cast("long").alias("one"),
+    )
+    placed = staged(running_sums(rows, _KEY, "cell", ["turn", "role", "text"], {"start": "tokens", "n": "one"}).drop("turn", "one"), "turns")
+    piece = F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit(CLOSE), escape(F.col("text")), F.lit(END)).alias("piece")
     opens = (F.col("n") == 0) & (F.col("role") == "system")
-    system = staged(placed.where(opens).select(*_KEY, F.col("tokens").alias("system_tokens"), F.col("piece").alias("system_piece")), "system")
+    system = staged(placed.where(opens).select(*_KEY, F.col("tokens").alias("system_tokens"), piece), "system")
     room = F.greatest(F.lit(2), F.lit(budget - history) - F.coalesce("system_tokens", F.lit(0)))
-    sized = placed.join(system.drop("system_piece"), _KEY, "left").withColumn("stride", F.floor(room / 2)).drop("system_tokens")
+    # the spans are found on numbers alone; the texts join them once
+    sized = placed.drop("text", "head").join(system.drop("piece"), _KEY, "left").withColumn("stride", F.floor(room / 2))
     longs = sized.withColumn("long", (F.col("tokens") > F.col("stride")).cast("long"))
     counted = running_sums(longs, _KEY, "cell", ["n"], {"longs": "long"})
     span = [*_KEY, "longs", "long", "block"]
-    spanned = staged(counted.withColumn("block", F.floor(F.col("start") / F.col("stride"))), "spanned")
+    spanned = staged(counted.select(*_KEY, "n", "role", "tokens", "start", "longs", "long", F.floor(F.col("start") / F.col("stride")).alias("block")), "spanned")
     spans = staged(
         spanned.groupBy(*span).agg(F.min("n").alias("window"), F.max("n").alias("last"), F.max(F.col("start") + F.col("tokens")).alias("stop")), "spans"
     )
-    inside = spanned.join(spans, span)
-    turn = ["role", "head", "piece", "tokens", "n"]
-    target = inside.select(*_KEY, "window", *turn, F.lit(True).alias("target"))
-    repeated = inside.where(~opens & (F.col("stop") - F.col("start") <= history)).select(*_KEY, (F.col("last") + 1).alias("window"), *turn, F.lit(False).alias("target"))
+    again = ~opens & (F.col("stop") - F.col("start") <= history)
+    places = F.array(
+        F.struct(F.col("window").alias("window"), F.lit(True).alias("target")),
+        F.when(again, F.struct((F.col("last") + 1).alias("window"), F.lit(False).alias("target"))),
+    )
+    where = spanned.join(spans, span).select(*_KEY, "n", F.array_compact(places).alias("places"))
+    inside = placed.join(where, [*_KEY, "n"]).select(*_KEY, F.explode("places").alias("place"), "role", "head", "text", "tokens", "n")
+    inside = inside.select(*_KEY, "place.window", "role", "head", piece, "tokens", "n", "place.target")
     kept = spans.where("window > 0").join(system, _KEY).select(
-        *_KEY, "window", F.lit("system").alias("role"), F.lit(0).alias("head"), F.col("system_piece").alias("piece"),
+        *_KEY, "window", F.lit("system").alias("role"), F.lit(0).alias("head"), "piece",
         F.col("system_tokens").alias("tokens"), F.lit(0).cast("long").alias("n"), F.lit(False).alias("target"),
     )
-    parts = target.unionByName(repeated).unionByName(kept)
+    parts = inside.unionByName(kept)
     grouped = parts.groupBy(*_KEY, "window").agg(
         F.sort_array(F.collect_list(F.struct("n", "target", "role", "head", "piece"))).alias("parts"),
         F.sum("tokens").alias("tokens"),
