@@ -19,6 +19,8 @@ RETRY_RATE = 0.05
 RETRY_REACH = 1024
 SPAN_DAYS = 7
 MODALITIES = (("text", "pdf"), ("image_caption", "png"), ("audio_transcript", "mp3"))
-TENANTS = ("acme", "beta", "gamma")
-SOURCES = ("confluence", "sharepoint", "manual_upload")
 EMBEDDING_MODEL = "text-embed-large"
+
+# Labels of generated rows; they decide no result.
+TENANTS = ("north", "south", "west")
+SOURCES = ("wiki", "drive", "desk")

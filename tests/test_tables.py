@@ -48,16 +48,16 @@ def test_append_twice(spark, table):
 
 
 def test_schema_is_enforced_and_evolves(spark, table):
-    users = spark.createDataFrame([(1, "a", 30), (2, "b", 40), (3, "c", 50)], "id long, name string, age long")
-    st.write_table(users, table)
+    parts = spark.createDataFrame([(7, "bolt", 12), (8, "nut", 9), (9, "gear", 31)], "id long, label string, weight long")
+    st.write_table(parts, table)
     with pytest.raises(st.SchemaMismatch):
-        st.write_table(spark.createDataFrame([(4, "d", "thirty")], "id long, name string, age string"), table, mode="append")
-    richer = spark.createDataFrame([(4, "d", 60, "premium")], "id long, name string, age long, tier string")
+        st.write_table(spark.createDataFrame([(10, "axle", "heavy")], "id long, label string, weight string"), table, mode="append")
+    richer = spark.createDataFrame([(10, "axle", 80, "steel")], "id long, label string, weight long, metal string")
     with pytest.raises(st.SchemaMismatch):
         st.write_table(richer, table, mode="append")
     st.write_table(richer, table, mode="append", schema_mode="merge")
-    tiers = {r.tier: r["count"] for r in st.read_table(spark, table).groupBy("tier").count().collect()}
-    assert tiers == {None: 3, "premium": 1}
+    metals = {r.metal: r["count"] for r in st.read_table(spark, table).groupBy("metal").count().collect()}
+    assert metals == {None: 3, "steel": 1}
 
 
 def test_drop_and_recreate(spark, table):
