@@ -62,7 +62,7 @@ def position(done: Column, ramp: Column) -> Column:
     return F.round(F.lit(2.0) * done / (rest + F.sqrt(rest * rest + F.lit(4.0) * ramp * done)), 9)
 
 
-def plan_mix(docs: DataFrame, weights=WEIGHTS, ramps=RAMPS, share: float = SHARE, cap: float = CAP, seed: str = "mix", cell_rows: int = 4096) -> DataFrame:
+def plan_mix(docs: DataFrame, weights=WEIGHTS, ramps=RAMPS, share: float = SHARE, cap: float = CAP, seed: str = "mix", cell_rows: int = 1024) -> DataFrame:
     """How often and when each document is read: one row per row of ``docs`` (``doc_id, text, source``).
 
     Returns ``doc_id, source, text_hash, size, source_size, target, copies, taken, start, ramp``. ``start``
