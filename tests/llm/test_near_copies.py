@@ -1,0 +1,59 @@
+import random
+from itertools import combinations
+
+import corpus_pipeline
+from stratalake.llm import near_copies, simhash
+
+
+def plain_set(text, words=5):
+    tokens = (text or "").lower().split()
+    return {" ".join(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))} if tokens else set()
+
+
+def plain_kept(rows):
+    sets, root = [plain_set(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for i, j in combinations(range(len(rows)), 2):
+        if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+            root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(d, least.get(find(i), d))
+    return sorted(least.values())
+
+
+def test_pipeline_drops_copies_beyond_two_bits(spark, make_docs):
+    rng = random.Random(8)
+    rows, far = [], 0
+    for _ in range(40):
+        text = [f"w{rng.randrange(900)}" for _ in range(rng.choice([40, 150, 400]))]
+        copies = [list(text) for _ in range(rng.randint(1, 5))]
+        for copy in copies[1:]:
+            for at in rng.sample(range(len(copy)), max(1, len(copy) // rng.choice([25, 60, 100, 200]))):
+                copy[at] = f"x{rng.randrange(900)}"
+        prints = [simhash.fingerprint(" ".join(c)) for c in copies]
+        far += sum(bin((prints[0] ^ p) % (1 << 64)).count("1") > 2 for p in prints[1:])
+        rows += [(None, " ".join(c)) for c in copies]
+    rows = [(i * 37 % 1009, t) for i, (_, t) in enumerate(rows)] + [(2000, None), (2001, " "), (2002, "Short one"), (2003, "short  ONE")]
+    got = corpus_pipeline.drop_near_duplicates(spark, make_docs(rows), "")
+    assert far > 20 and sorted(r.doc_id for r in got.collect()) == plain_kept(rows)
+
+
+def test_one_common_line_is_no_copy_and_a_chain_is_followed(make_docs):
+    line = "the same line of words in every text "
+    own = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"]
+    chain = [" ".join(f"k{i}" for i in range(at, at + 200)) for at in range(0, 120, 12)]
+    rows = [(i, line * 300 + t) for i, t in enumerate(own)] + [(100 + i, t) for i, t in enumerate(chain)]
+    assert sorted(r.doc_id for r in near_copies.keep_one(make_docs(rows)).collect()) == plain_kept(rows) == [0, 1, 2, 3, 4, 5, 100]
+
+
+def test_odd_rows(odd_docs, make_docs):
+    kept = near_copies.keep_one(odd_docs)
+    assert kept.columns == odd_docs.columns
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 2, 4, 7, 8]
+    text = " ".join(f"n{i}" for i in range(300))
+    assert near_copies.keep_one(make_docs([(None, text), (None, text + " more")])).count() == 1
+    assert near_copies.keep_one(make_docs([])).count() == 0
