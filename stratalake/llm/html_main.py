@@ -2,9 +2,9 @@
 
 The standard library's parser reports events as it reads; blocks of text become lines with their ratio of
 characters outside links to tags. Ratios are smoothed with a Gaussian and split at the threshold that separates them
-best. Lines above it vote, with their text, for the element that holds the content: the deepest one with nearly
-all votes, an article or main element first. All blocks of that element are its text, short ones too, but for
-parts marked as something else: menus, headers, footers, sidebars, notices, adverts, forms, comments.
+best. The main element is the deepest one that holds most of the text above it, an article or main element first. All blocks of the main element are its text, short ones too, but for parts marked as
+something else: menus, headers, footers, sidebars, notices, adverts, forms, comments. Marks by class or id names only
+count for elements that hold neither an article or main element nor most of the text above the threshold.
 """
 
 from __future__ import annotations
@@ -56,6 +56,7 @@ class _Element:
     number: int
     skipped: bool
     silent: bool
+    named: bool
 
 
 @dataclass
@@ -64,16 +65,17 @@ class _Line:
     tags: int
     linked: int
     path: tuple[int, ...]
+    named: tuple[int, ...]
 
 
 @dataclass
 class _Page:
     lines: list[_Line] = field(default_factory=list)
-    articles: set[int] = field(default_factory=set)
+    articles: dict[int, tuple[int, ...]] = field(default_factory=dict)  # with the elements around it that names mark
 
 
 class _Reader(HTMLParser):
-    """Turns parser events into lines of text outside skipped elements."""
+    """Turns parser events into lines of text outside skipped elements, with the elements around them that names mark."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -84,12 +86,13 @@ class _Reader(HTMLParser):
         self.tags = 0
         self.linked = 0
         self.path: tuple[int, ...] = ()
+        self.named: tuple[int, ...] = ()
         self.in_link = 0
 
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.page.lines.append(_Line(text, self.tags, min(self.linked, len(text)), self.path))
+            self.page.lines.append(_Line(text, self.tags, min(self.linked, len(text)), self.path, self.named))
             self.tags = 0
         self.parts, self.linked = [], 0
 
@@ -110,11 +113,12 @@ class _Reader(HTMLParser):
         self.count += 1
         silent = bool(outer and outer.silent) or tag in _SILENT
         skipped = bool(outer and outer.skipped) or silent or self._is_other(tag, dict(attrs), inside)
+        named = not skipped and self._has_other_name(tag, dict(attrs), inside)
         if not skipped and (tag in ("article", "main") or ("role", "main") in attrs):
-            self.page.articles.add(self.count)
+            self.page.articles[self.count] = tuple(e.number for e in self.open if e.named) + ((self.count,) if named else ())
         if tag == "a":
             self.in_link += 1
-        self.open.append(_Element(tag, self.count, skipped, silent))
+        self.open.append(_Element(tag, self.count, skipped, silent, named))
 
     handle_startendtag = handle_starttag
 
@@ -124,8 +128,12 @@ class _Reader(HTMLParser):
             return True
         if tag in ("html", "body"):
             return False
-        if (attrs.get("role") or "").lower() in _ROLES or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
-            return True
+        return (attrs.get("role") or "").lower() in _ROLES or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true"
+
+    @staticmethod
+    def _has_other_name(tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
+        if tag in ("html", "body"):
+            return False
         if tag in ("article", "main"):
             names = (attrs.get("class") or "").lower().split()
             return any(n in _NAMES for n in names)
@@ -156,6 +164,7 @@ class _Reader(HTMLParser):
             return
         if not self.parts:
             self.path = (0, *(e.number for e in self.open if e.tag in _HOLDERS))
+            self.named = tuple(e.number for e in self.open if e.named)
         self.parts.append(data)
         if self.in_link:
             self.linked += len(data.strip())
@@ -185,6 +194,32 @@ def threshold(values: np.ndarray) -> float:
     return float(ordered[int(np.argmax(between)) + 1])
 
 
+def _content(lines: list[_Line]) -> np.ndarray:
+    """Which lines the ratio clustering puts above the threshold."""
+    ratios = np.array([min(_WIDTH, max(0, len(x.text) - x.linked) / max(1, x.tags)) for x in lines])
+    values = smoothed(ratios)
+    return values >= threshold(values)
+
+
+def _without_named(page: _Page) -> tuple[list[_Line], set[int]]:
+    """Lines and articles outside elements whose names mark them as something else.
+
+    A name is no mark on an element that holds an article or main element without such a name of its own, or most
+    of the text above the threshold.
+    """
+    votes: dict[int, int] = {}
+    total = 0
+    for line, chosen in zip(page.lines, _content(page.lines)):
+        if chosen:
+            total += len(line.text)
+            for number in line.named:
+                votes[number] = votes.get(number, 0) + len(line.text)
+    held = {n for number, around in page.articles.items() if number not in around for n in around}
+    held |= {n for n, v in votes.items() if v >= MAJORITY * total}
+    lines = [x for x in page.lines if held.issuperset(x.named)]
+    return lines, {n for n, around in page.articles.items() if held.issuperset(around)}
+
+
 def main_text(html: str) -> str:
     """The blocks of the page's main element, joined by newlines; empty if there is no text."""
     reader = _Reader()
@@ -193,26 +228,26 @@ def main_text(html: str) -> str:
     page = reader.finish()
     if not page.lines:
         return ""
-    ratios = np.array([min(_WIDTH, max(0, len(x.text) - x.linked) / max(1, x.tags)) for x in page.lines])
-    values = smoothed(ratios)
-    content = values >= threshold(values)
+    lines, articles = _without_named(page)
+    if not lines:
+        return ""
     votes: dict[int, int] = {}
     total = 0
-    for line, chosen in zip(page.lines, content):
+    for line, chosen in zip(lines, _content(lines)):
         if chosen:
             total += len(line.text)
             for number in line.path:
                 votes[number] = votes.get(number, 0) + len(line.text)
     # numbers rise inwards, so the last element with most votes is the deepest; 0 is the page
-    named = [n for n in page.articles if votes.get(n, 0) >= MAJORITY * total]
-    shared = {n for n in page.articles if votes.get(n)}
+    named = [n for n in articles if votes.get(n, 0) >= MAJORITY * total]
+    shared = {n for n in articles if votes.get(n)}
     if named:
-        kept = [x for x in page.lines if max(named) in x.path]
+        kept = [x for x in lines if max(named) in x.path]
     elif shared:  # several articles hold the content
-        kept = [x for x in page.lines if shared.intersection(x.path)]
+        kept = [x for x in lines if shared.intersection(x.path)]
     else:  # an element without a meaning of its own may hold lists of links as well
         region = max(n for n, v in votes.items() if v >= MAJORITY * total)
-        kept = [x for x in page.lines if region in x.path and 2 * x.linked <= len(x.text)]
+        kept = [x for x in lines if region in x.path and 2 * x.linked <= len(x.text)]
     return "\n".join(x.text for x in kept)
 
 

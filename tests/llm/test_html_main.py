@@ -62,3 +62,14 @@ def test_pages_against_their_article_element(spark):
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1|ul|li)>", inner)]
         assert r.text == "\n".join(b for b in blocks if b)
         assert r.n_chars == len(r.text)
+
+
+PARAGRAPH = f"<p>{' '.join([LONG] * 3)}</p>"
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "with-banner", "no-comments"])
+def test_names_of_wrappers_do_not_hide_the_content(name):
+    menu, side = "<nav><a href=x>Home</a></nav>", "<div class=sidebar><p>Side</p></div>"
+    for tag in ("article", "main", "section"):
+        page = f"{menu}<div class='{name}'><{tag}><h1>T</h1>{PARAGRAPH * 4}</{tag}></div>{side}"
+        assert html_main.main_text(page).split("\n") == ["T"] + [" ".join([LONG] * 3)] * 4
