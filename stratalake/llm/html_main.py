@@ -2,7 +2,8 @@
 
 The standard library's parser reports events as it reads; blocks of text become lines with their ratio of
 characters outside links to tags. Ratios are smoothed with a Gaussian and split at the threshold that separates them
-best. The main element is the deepest one that holds most of the text above it, an article or main element first. All blocks of the main element are its text, short ones too, but for parts marked as
+best. The main element is the smallest one that covers all lines above it; article and main elements that hold most of
+their text go first. All blocks of the main element are its text, short ones and links too, but for parts marked as
 something else: menus, headers, footers, sidebars, notices, adverts, forms, comments. Marks by class or id names only
 count for elements that hold neither an article or main element nor most of the text above the threshold.
 """
@@ -245,9 +246,9 @@ def main_text(html: str) -> str:
         kept = [x for x in lines if max(named) in x.path]
     elif shared:  # several articles hold the content
         kept = [x for x in lines if shared.intersection(x.path)]
-    else:  # an element without a meaning of its own may hold lists of links as well
-        region = max(n for n, v in votes.items() if v >= MAJORITY * total)
-        kept = [x for x in lines if region in x.path and 2 * x.linked <= len(x.text)]
+    else:  # the smallest element that covers all content
+        region = max(n for n, v in votes.items() if v == total)
+        kept = [x for x in lines if region in x.path]
     return "\n".join(x.text for x in kept)
 
 

@@ -73,3 +73,11 @@ def test_names_of_wrappers_do_not_hide_the_content(name):
     for tag in ("article", "main", "section"):
         page = f"{menu}<div class='{name}'><{tag}><h1>T</h1>{PARAGRAPH * 4}</{tag}></div>{side}"
         assert html_main.main_text(page).split("\n") == ["T"] + [" ".join([LONG] * 3)] * 4
+
+
+def test_region_covers_all_content_with_headings_and_links():
+    body = " ".join([LONG] * 3)
+    page = f"<div><h1>title</h1><div>{PARAGRAPH * 4}</div><div>{PARAGRAPH}</div></div>"
+    assert html_main.main_text(page).split("\n") == ["title"] + [body] * 5
+    page = f"<nav><a href=x>Home</a></nav><div><h1>title</h1><div>{PARAGRAPH * 4}</div><h2><a href=x>linked</a></h2><div>{PARAGRAPH * 2}</div></div>"
+    assert html_main.main_text(page).split("\n") == ["title", *[body] * 4, "linked", *[body] * 2]
