@@ -107,14 +107,19 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 2, paired: int
     other. Repeated rows are all returned. A null ``doc_id`` takes part in links but never names a component
     unless the component has no other. Extra columns are ignored; an empty table gives no rows.
     """
+    return _rooted(docs, words, bits, paired).drop("root")
+
+
+def _rooted(docs: DataFrame, words: int, bits: int, paired: int = PAIRED) -> DataFrame:
+    """Rows of ``near_duplicates`` with ``root``, the smallest fingerprint of the component."""
     prints = fingerprints(docs, words)
     distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     found = components(links(distinct.select("fp"), bits, paired))
     root = F.coalesce("component", "fp").alias("root")
     labelled = staged(distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", root), "roots")
     named = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = staged(labelled.join(named, "root").select("fp", "component_id"), "names")
-    return prints.join(names, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    names = staged(labelled.join(named, "root").select("fp", "component_id", "root"), "names")
+    return prints.join(names, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def hex_fingerprint(column: str = "fp"):
@@ -128,11 +133,11 @@ def keep_one(docs: DataFrame, words: int = 3, bits: int = 2) -> DataFrame:
     Several rows with that id keep the one with the least text hash; rows repeated as a whole keep one.
     A component without any id keeps the row with the least text hash.
     """
-    rows = near_duplicates(docs, words, bits)
+    rows = _rooted(docs, words, bits)
     rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash", "fp")
     id_, unknown, hash_, row = (unused(docs, f"_kept_{n}") for n in ("id", "unknown", "hash", "row"))
     kept = staged(
-        rows.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("unnamed"))
+        rows.groupBy("root")
         .agg(F.min(rank).alias("k"))
         .select(F.coalesce("k.doc_id", F.lit(0)).alias(id_), F.col("k.unknown").alias(unknown), F.col("k.text_hash").alias(hash_)),
         "kept",

@@ -105,3 +105,11 @@ def test_odd_rows(odd_docs):
 def test_empty(make_docs):
     assert simhash.near_duplicates(make_docs([])).count() == 0
     assert simhash.keep_one(make_docs([])).count() == 0
+
+
+def test_component_without_ids_keeps_one_row(make_docs):
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join(words + [f"end{i}"]) for i in range(40)]
+    prints = {t: simhash.fingerprint(t) for t in texts}
+    pair = next((a, b) for a, b in combinations(texts, 2) if 1 <= bin((prints[a] ^ prints[b]) % (1 << 64)).count("1") <= 2)
+    assert simhash.keep_one(make_docs([(None, t) for t in pair])).count() == 1
