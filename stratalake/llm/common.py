@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,7 +12,7 @@ from stratalake.sources.parquet import load, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "bucket_of", "components", "global_row_number", "label_sample", "load", "running_sums", "staged", "unused", "whole_text"]
+__all__ = ["WORD", "bucket_of", "components", "global_row_number", "label_sample", "load", "parts", "running_sums", "staged", "unused", "whole_text"]
 
 
 def whole_text(column: str = "text") -> Column:
@@ -17,6 +20,13 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def parts(batches: Iterator[Any], rows: int = 64) -> Iterator[Any]:
+    """Small parts of Arrow batches, so that a worker holds few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.catalog.registry import Registry
-from stratalake.llm import chat, html_main, imi, mixing, order_minhash, quality, sharding, simhash, toxicity, viterbi
+from stratalake.llm import chat, collocations, fim, html_main, imi, mixing, order_minhash, packing, quality, sharding, simhash, toxicity, viterbi
 from stratalake.llm.common import load
 
 registry = Registry()
@@ -144,3 +144,86 @@ def op10_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(load(spark, sf_dir, "documents"))
     placed = plan.withColumn("position", mixing.position_of_copy(F.lit(0))).orderBy(F.col("position").asc_nulls_last(), "doc_id")
     return placed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "copies", "taken", "position")
+
+
+FIM_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents
+), d AS (
+  SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM t
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), s AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix
+  FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM s
+"""
+
+
+@registry.query(FIM_SQL)
+def op11_fill_in_middle_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.arrange(fim.store(load(spark, sf_dir, "documents"))))
+
+
+PHRASE_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p
+), s AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w
+), g AS (
+  SELECT lang, m AS size, words[i:i + m - 1] AS words FROM s, (SELECT unnest([1, 2, 3]) AS m) WHERE i + m - 1 <= len(words)
+), f AS (
+  SELECT lang, size, array_to_string(words, ' ') AS phrase, words, count(*) AS f FROM g GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang
+), c AS (
+  SELECT * FROM f WHERE size >= 2 AND f >= 10
+), k AS (
+  SELECT lang, phrase, words, size, f AS a, unnest(range(1, size)) AS k FROM c
+), x AS (
+  SELECT k.lang, k.phrase, k.a, k.k, l.f AS l, r.f AS r,
+         CAST((CAST(1000000 AS HUGEINT) * k.a * k.a) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.words[1:k.k], ' ')
+         JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.words[k.k + 1:], ' ')
+), b AS (
+  SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), o AS (
+  SELECT lang, array_to_string(words[1:2], ' ') AS phrase, f FROM c WHERE size = 3
+  UNION ALL SELECT lang, array_to_string(words[2:3], ' '), f FROM c WHERE size = 3
+), h AS (
+  SELECT lang, phrase, max(f) AS longer FROM o GROUP BY ALL
+)
+SELECT b.lang, rank, b.phrase, a, l, r, n.n, score FROM (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE coalesce(100 * longer < 50 * a, true)
+) b JOIN n ON n.lang = b.lang WHERE rank <= 2000
+"""
+
+
+@registry.query(PHRASE_SQL)
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(load(spark, sf_dir, "documents"))
+
+
+@registry.query()
+def op13_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(load(spark, sf_dir, "documents")))
