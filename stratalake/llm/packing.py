@@ -28,6 +28,7 @@ _WORDS = 500_000
 _SLICE = 1 << 20
 _BLANKS = b" \t\n\v\f\r"
 _POINTS = ".,;:!?\"()"
+_BEYOND = "\u0250"  # composed letters below it are their own normal form
 
 
 def default_tokenizer() -> str:
@@ -69,8 +70,8 @@ class _Words(dict):
         text = word.decode("utf-8", "surrogatepass")
         core = text.rstrip(_POINTS)
         tail = text[len(core) :]
-        if core.isalpha() and max(core) < "ɐ":
-            lower = core.lower() if core.isascii() else "".join(map(str.lower, core))
+        lower = core.lower() if core.isascii() else "".join(map(str.lower, core))
+        if lower.isalpha() and max(core + lower) < _BEYOND:
             ids = self._piece(lower) + (self._piece(tail) if tail else b"")
         else:
             ids = _raw(self._library.encode(text, add_special_tokens=False).ids)
