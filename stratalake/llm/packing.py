@@ -13,6 +13,8 @@ before had buckets.
 
 from __future__ import annotations
 
+import string
+import struct
 import sys
 import types
 import zlib
@@ -28,11 +30,11 @@ from stratalake.llm.common import parts, staged, whole_text
 
 CAPACITY = 2048
 BUCKET = 4096
-_WORDS = 500_000
+_WORDS = 1_000_000
 _SLICE = 1 << 20
 _NONE = np.iinfo(np.int64).max
 _BLANKS = b" \t\n\v\f\r"
-_POINTS = ".,;:!?\"()"
+_POINTS = string.punctuation
 _BEYOND = "\u0250"  # composed letters below it are their own normal form
 
 
@@ -57,14 +59,14 @@ class _Words(dict):
         self._model = self._library.model
         # byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for code points from 256 on
         printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        others = (b for b in range(256) if b not in printable)
-        self._bytes = {b: 256 + i for i, b in enumerate(others)}
+        others = iter(range(256, 512))
+        self._bytes = "".join(chr(b if b in printable else next(others)) for b in range(256))
         self._known: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
         ids = self._known.get(piece)
         if ids is None:
-            spelled = piece.encode().decode("latin-1").translate(self._bytes)
+            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._bytes)
             ids = self._known[piece] = _raw([t.id for t in self._model.tokenize(spelled)])
         return ids
 
@@ -75,8 +77,9 @@ class _Words(dict):
         text = word.decode("utf-8", "surrogatepass")
         core = text.rstrip(_POINTS)
         tail = text[len(core) :]
-        lower = core.lower() if core.isascii() else "".join(map(str.lower, core))
-        if lower.isalpha() and max(core + lower) < _BEYOND:
+        plain = core.isascii()
+        lower = core.lower() if plain else "".join(map(str.lower, core))
+        if lower.isalpha() and (plain or max(core + lower) < _BEYOND):
             ids = self._piece(lower) + (self._piece(tail) if tail else b"")
         else:
             ids = _raw(self._library.encode(text, add_special_tokens=False).ids)
@@ -85,7 +88,7 @@ class _Words(dict):
 
 
 def _raw(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _worker_words(spec: str) -> _Words:
@@ -125,8 +128,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
         words = _worker_words(spec.value)
         for part in parts(batches):
             rows = {name: [] for name in types_of}
-            for doc, text in zip(*(c.to_pylist() for c in part.columns)):
-                ids = b"".join([*token_ids(text.encode("utf-8", "surrogatepass"), words), bytes(4)])
+            for doc, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
+                ids = b"".join([*token_ids(text, words), bytes(4)])
                 for i, at in enumerate(range(0, len(ids), 4 * capacity)):
                     piece = ids[at : at + 4 * capacity]
                     rows["doc_id"].append(doc)
