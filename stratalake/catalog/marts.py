@@ -276,6 +276,23 @@ def incident_triage(spark, sf):
     return alerts.triage(marts.quality_kpi(events), fresh, events)
 
 
+@query(f"""WITH {RETRIEVAL_SQL},
+ends AS (SELECT tenant_id, min(event_date) AS lo, max(event_date) AS hi FROM retrieval GROUP BY tenant_id),
+halves AS (SELECT r.tenant_id, top1_score, event_date > lo + CAST(floor(date_diff('day', lo, hi) / 2) AS INTEGER) AS late FROM retrieval r JOIN ends USING (tenant_id)),
+scores AS (SELECT tenant_id, top1_score AS score, CAST(count(*) FILTER (WHERE NOT late) AS DOUBLE) AS b, CAST(count(*) FILTER (WHERE late) AS DOUBLE) AS a
+  FROM halves GROUP BY ALL),
+steps AS (SELECT tenant_id, sum(b) OVER w / sum(b) OVER (PARTITION BY tenant_id) AS fb, sum(a) OVER w / sum(a) OVER (PARTITION BY tenant_id) AS fa
+  FROM scores WINDOW w AS (PARTITION BY tenant_id ORDER BY score)),
+bins AS (SELECT tenant_id, greatest(0, least(9, floor(score * 10))) AS bin, sum(b) AS b, sum(a) AS a FROM scores GROUP BY ALL),
+shares AS (SELECT tenant_id, greatest(b / sum(b) OVER w, 0.0001::DOUBLE) AS b, greatest(a / sum(a) OVER w, 0.0001::DOUBLE) AS a FROM bins WINDOW w AS (PARTITION BY tenant_id))
+SELECT tenant_id, scores_before, scores_after, ks, psi FROM
+  (SELECT tenant_id, CAST(sum(b) AS BIGINT) AS scores_before, CAST(sum(a) AS BIGINT) AS scores_after FROM scores GROUP BY tenant_id)
+  JOIN (SELECT tenant_id, CAST(round(CAST(max(abs(fb - fa)) AS DECIMAL(38, 12)), 6) AS DOUBLE) AS ks FROM steps GROUP BY tenant_id) USING (tenant_id)
+  JOIN (SELECT tenant_id, CAST(round(CAST(sum((a - b) * ln(a / b)) AS DECIMAL(38, 12)), 6) AS DOUBLE) AS psi FROM shares GROUP BY tenant_id) USING (tenant_id)""")
+def score_drift(spark, sf):
+    return alerts.score_drift(_events(spark, sf))
+
+
 @query("""SELECT CASE WHEN age <= 7 THEN 'hot' WHEN age <= 20 THEN 'warm' ELSE 'cold' END AS tier, count(*) AS events,
   count(DISTINCT day) AS days FROM (SELECT CAST(ts AS DATE) AS day, date_diff('day', CAST(ts AS DATE), DATE '2024-01-31') AS age FROM events) GROUP BY 1""")
 def age_tiers(spark, sf):

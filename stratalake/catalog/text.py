@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratalake.catalog.derive import DOCS_SQL, chunk_embeddings, chunks
+from stratalake.catalog.derive import CHUNK_SIZE, DOCS_SQL, chunk_embeddings, chunks, raw_documents
 from stratalake.catalog.registry import Registry
 from stratalake.functions.measures import rounded
 from stratalake.functions.text import (
@@ -12,11 +12,13 @@ from stratalake.functions.text import (
     keyed_token,
     mask_personal,
     normalize_unicode,
+    sentence_pattern,
     squeeze_blanks,
     strip_html,
     token_estimate,
 )
 from stratalake.functions.vectors import cosine, l2_norm, normalised
+from stratalake.plans.rag import document_chunks
 from stratalake.sources.parquet import load
 
 registry = Registry()
@@ -29,6 +31,34 @@ def document_chunk_rows(spark, sf):
     return chunks(spark, sf).drop("embedding_id", "bronze_doc_id", "silver_run_id")
 
 
+_SENTENCES = sentence_pattern(CHUNK_SIZE).replace("'", "''")
+
+
+@query(f"""WITH {DOCS_SQL}, whole AS (SELECT doc_id, regexp_extract_all(text, '{_SENTENCES}') AS found FROM docs)
+SELECT doc_id || '-' || CAST(i - 1 AS VARCHAR) AS chunk_id, doc_id, CAST(i - 1 AS INTEGER) AS chunk_index, found[i] AS chunk_text,
+  CAST(length(found[i]) AS INTEGER) AS char_count
+FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM whole)""")
+def sentence_chunk_rows(spark, sf):
+    cut = document_chunks(raw_documents(spark, sf), CHUNK_SIZE, 0, "run-1", sentences=True)
+    return cut.select("chunk_id", "doc_id", "chunk_index", "chunk_text", "char_count")
+
+
+@query("""SELECT count(*) AS documents, count(*) AS restored, CAST(0 AS BIGINT) AS too_long FROM documents WHERE length(text) > 0""")
+def sentence_chunks_restore(spark, sf):
+    """Documents whose chunks give the text again, and chunks beyond the size."""
+    docs = raw_documents(spark, sf).where(F.length("text") > 0)
+    cut = document_chunks(docs, CHUNK_SIZE, 0, "run-1", sentences=True)
+    pieces = F.sort_array(F.collect_list(F.struct("chunk_index", "chunk_text")))
+    rebuilt = cut.groupBy("doc_id").agg(
+        F.sha2(F.array_join(F.transform(pieces, lambda c: c["chunk_text"]), ""), 256).alias("rebuilt"),
+        F.any_value("doc_version_hash").alias("doc_hash"),
+        F.count_if(F.col("char_count") > CHUNK_SIZE).alias("too_long"),
+    )
+    return rebuilt.agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(F.col("rebuilt") == F.col("doc_hash")).alias("restored"), F.sum("too_long").alias("too_long")
+    )
+
+
 @query(f"""WITH {DOCS_SQL} SELECT embedding_id, chunk_id, doc_id, tenant_id, embedding_model, embed_ts, embed_date,
   prompt_tokens, cost_usd FROM embedded""")
 def embedding_records(spark, sf):

@@ -47,6 +47,23 @@ def windows_of(text: Column, size: int, overlap: int = 0) -> Column:
     return F.when(last_is_tail, F.slice(whole, F.lit(1), F.size(whole) - 1)).otherwise(whole)
 
 
+def sentence_windows_of(text: Column, size: int) -> Column:
+    """Array of chunks of whole sentences, each as many as fit in ``size`` characters, the last two left for marks (O-8).
+
+    A sentence ends in ``. ! ?``, a closing quote or bracket if there is one, and one blank, or at a line's end. A
+    sentence longer than ``size`` is cut. The chunks do not overlap and give the text when put together. One greedy
+    match of the text: it goes back at most ``size`` characters for a border, so the work is linear in the text.
+    """
+    if size < 4:
+        raise ValueError("size must be 4 at least")
+    return F.regexp_extract_all(text, F.lit(sentence_pattern(size)), F.lit(0))
+
+
+def sentence_pattern(size: int) -> str:
+    """Matches of at most ``size`` characters: the rest of the text, else up to the last border, else anything."""
+    return rf"""(?s).{{1,{size}}}\z|.{{0,{size - 3}}}(?:[.!?]["')\]]?[ \t]|\n)|.{{1,{size}}}"""
+
+
 def strip_html(page: Column) -> Column:
     """Visible text of a page: scripts, styles and comments go, tags become blanks (O-15)."""
     text = F.regexp_replace(page, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions.measures import rounded
+from stratalake.operators.drift import distribution_drift
 from stratalake.plans.settings import STALE_ALERT, ZERO_HIT_ALERT
 
 
@@ -91,6 +92,13 @@ def lineage(
     return rows.join(bronze.withColumnRenamed(own, f"_{own}"), F.col(back) == F.col(f"_{own}")).drop(f"_{own}")
 
 
+def score_drift(events: DataFrame) -> DataFrame:
+    """Per tenant the drift of its best scores between the two halves that ``triage`` compares (M-24)."""
+    ends = events.groupBy("tenant_id").agg(F.min("event_date").alias("_lo"), F.max("event_date").alias("_hi"))
+    late = F.col("event_date") > F.date_add("_lo", F.floor(F.datediff("_hi", "_lo") / 2).cast("int"))
+    return distribution_drift(events.join(ends, "tenant_id"), ["tenant_id"], "top1_score", late)
+
+
 def triage(
     quality: DataFrame, freshness: DataFrame, events: DataFrame, above: float = ZERO_HIT_ALERT
 ) -> DataFrame:

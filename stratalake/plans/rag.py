@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.payload import is_corrupt, parse_payload, text_array, zip_shortest
-from stratalake.functions.text import embedding_cost, fingerprint, token_estimate, windows_of
+from stratalake.functions.text import embedding_cost, fingerprint, token_estimate, sentence_windows_of, windows_of
 from stratalake.operators.merge import merge
 from stratalake.plans.settings import EMBED_USD_PER_1K_TOKENS, ZERO_HIT_SCORE
 from stratalake.sources.snapshots import write_table
@@ -30,18 +30,22 @@ def ingest_bronze(docs: DataFrame, logs: DataFrame, root: str) -> dict[str, str]
     return paths
 
 
-def document_chunks(docs: DataFrame, size: int, overlap: int, run_id: str) -> DataFrame:
+def document_chunks(docs: DataFrame, size: int, overlap: int, run_id: str, sentences: bool = False) -> DataFrame:
     """Overlapping text windows with the hash of the document version they were cut from (D-4, O-8).
 
+    ``sentences`` packs whole sentences instead, without overlap.
     Needs ``doc_id, doc_hash, tenant_id, modality, text, ingest_ts``. Row-wise: no shuffle.
     """
+    if sentences and overlap:
+        raise ValueError("chunks of whole sentences do not overlap")
+    text = F.col("text")
     cut = docs.select(
         "doc_id",
         F.col("doc_hash").alias("doc_version_hash"),
         "modality",
         "tenant_id",
         "ingest_ts",
-        F.posexplode(windows_of(F.col("text"), size, overlap)).alias("chunk_index", "chunk_text"),
+        F.posexplode(sentence_windows_of(text, size) if sentences else windows_of(text, size, overlap)).alias("chunk_index", "chunk_text"),
     )
     chunk_ts = _minutes_after("ingest_ts", F.col("chunk_index") % 10 + 1)
     return cut.select(

@@ -130,3 +130,37 @@ def test_feed_refuses_unknown_changes(spark):
         changes = spark.createDataFrame([row], "k long, seq long, op string, v string")
         with pytest.raises(Exception, match="known operation"):
             feed.as_changes(changes, ["k"], "seq", "op").collect()
+
+
+def test_sentence_chunks(spark):
+    from stratalake.functions.text import sentence_windows_of
+
+    texts = ["", "One. Two! Three? Four", "No end at all and much longer than the size", 'He said "go." Then left.\nNew line\n\nlast', "é. ü! " * 9, "...", "a" * 45 + ". b", "😀. 😀😀! x"]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "text string")
+    for size in (4, 12, 20):
+        for row in df.select("text", sentence_windows_of(df.text, size).alias("found")).collect():
+            if row.text is None:
+                assert row.found is None
+                continue
+            assert "".join(row.found) == row.text and all(0 < len(c) <= size for c in row.found)
+            for chunk in row.found[:-1]:  # only a text without a border is cut elsewhere
+                border = re.search(r"""([.!?]["')\]]?[ \t]|\n)$""", chunk)
+                assert border or (len(chunk) == size and not re.search(r"[.!?][ \t]|\n", chunk[: size - 2]))
+
+
+def test_distribution_drift(spark):
+    from pyspark.sql import functions as F
+
+    from stratalake.operators.drift import distribution_drift
+
+    rng = random.Random(3)
+    rows = [(k, rng.choice((0.1, 0.25, rng.random(), rng.random() ** (2 if late else 1))), late) for k in ("a", None) for late in (True, False) for _ in range(300)]
+    rows += [("a", None, True), ("a", float("nan"), False), ("a", 0.5, None), ("b", 0.5, True), ("a", 7.0, True), ("a", -7.0, False)]
+    got = {r.k: r for r in distribution_drift(spark.createDataFrame(rows, "k string, s double, late boolean"), ["k"], "s", F.col("late")).collect()}
+    for key in ("a", None):
+        sides = [[s for k, s, late in rows if k == key and late is side and s is not None and s == s] for side in (False, True)]
+        points = sorted({*sides[0], *sides[1]})
+        ks = max(abs(sum(v <= p for v in sides[0]) / len(sides[0]) - sum(v <= p for v in sides[1]) / len(sides[1])) for p in points)
+        assert got[key].ks == pytest.approx(ks, abs=1e-6) and (got[key].scores_before, got[key].scores_after) == (len(sides[0]), len(sides[1]))
+        assert got[key].psi > 0
+    assert got["b"].ks is None and got["b"].psi is None and got["b"].scores_before == 0
