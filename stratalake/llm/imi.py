@@ -94,7 +94,9 @@ def _best(query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, rough: np.nda
     """Ids and true distances of the k nearest by ``rough`` squared distances, ties to the smaller id."""
     if len(rough) > k:
         border = np.partition(rough, k - 1)[k - 1]
-        near = np.flatnonzero(rough <= border + 1e-6 * (1.0 + abs(border)))
+        # the expanded squares cancel, so their error grows with the norms, not with the distance
+        slack = 1e-12 * ((query**2).sum() + (vectors**2).sum(axis=1).max())
+        near = np.flatnonzero(rough <= border + slack)
         ids, vectors = ids[near], vectors[near]
     exact = np.sqrt(((vectors - query) ** 2).sum(axis=1))
     order = np.lexsort((ids, exact))[:k]
@@ -115,14 +117,14 @@ def search(
 
     ``vectors`` has ``vec_id, embedding``; rows for which the SQL condition ``is_query`` holds are queries
     against all other ids. Null, zero and non-finite vectors, vectors with null components or of another length
-    than most, and rows without id take no part. Rows that repeat an id count once per row. Ties go to the
-    smaller id; with fewer than k candidates all are returned; an empty table gives no rows. The codebooks
+    than most, and rows without id take no part. A query id that repeats is asked once, by its least
+    vector; other rows that repeat an id are candidates once per row. Ties go to the smaller id; with fewer than k candidates all are returned; an empty table gives no rows. The codebooks
     come from at most ``sample_rows`` vectors, drawn by a hash of the id.
     """
     spark = vectors.sparkSession
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     usable = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite & F.exists("embedding", lambda x: x != 0))
-    usable = usable.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    usable = usable.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     lengths = usable.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if lengths is None:
@@ -145,7 +147,7 @@ def search(
     counts = np.zeros((len(grid.first), len(grid.second)), np.int64)
     for r in indexed.groupBy("i", "j").count().collect():  # at most one row per cell of the grid
         counts[r.i, r.j] = r["count"]
-    queries = indexed.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    queries = indexed.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("query"))
     asked = queries.count()
     if asked == 0:
         return empty
@@ -168,7 +170,7 @@ def search(
                     "cells": [np.flatnonzero(passed[r]).astype(np.int32) for r in rows],
                 })
 
-    probes = queries.mapInPandas(probe, "query_id long, query array<float>, i int, cells array<int>")
+    probes = queries.mapInPandas(probe, "query_id long, query array<double>, i int, cells array<int>")
     per_row = F.element_at(F.array(*[F.lit(b) for b in blocks]), F.col("i") + 1)
     probes = probes.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts))).withColumn("block", F.explode(F.sequence(F.lit(0), per_row - 1)))
     held = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id"), per_row).cast("int")).withColumn(

@@ -73,3 +73,17 @@ def test_recall(spark):
         found.setdefault(r.query_id, set()).add(r.vec_id)
     recall = np.mean([len(found[q] & {v for v, _ in near}) / len(near) for q, near in want.items()])
     assert recall >= 0.9
+
+
+def test_repeated_queries_doubles_and_large_norms(spark):
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(60, 6)) + 1e6  # distances are small beside the norms
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    rows += [rows[0], rows[0]]  # the same query three times
+    found = imi.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id % 20 = 0", k=5, share=1.0).collect()
+    for q in (0, 20, 40):
+        got = sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == q)
+        others = [(float(np.sqrt(((v - vectors[q]) ** 2).sum())), i) for i, v in (*enumerate(vectors), (0, vectors[0]), (0, vectors[0])) if i != q]
+        want = sorted(others)[:5]
+        assert [g[0] for g in got] == [1, 2, 3, 4, 5] and [g[1] for g in got] == [i for _, i in want]
+        assert [g[2] for g in got] == pytest.approx([d for d, _ in want], rel=1e-12)
