@@ -17,7 +17,7 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def _once(value: Column) -> Column:
+def once(value: Column) -> Column:
     """The value from a one-row generator: filters are pushed below a projection and would compute it again."""
     return F.explode(F.array(value))
 
@@ -34,7 +34,7 @@ def _starts(words: Column, n: int) -> Column:
 
 def item_grams(items: DataFrame, n: int = GRAM) -> DataFrame:
     """``item_id, item_at, gram`` of every place of every item (``item_id, text``), staged: the small inverted side."""
-    worded = items.select("item_id", _once(words_of(F.col("text"))).alias("words"))
+    worded = items.select("item_id", once(words_of(F.col("text"))).alias("words"))
     placed = worded.select("item_id", "words", F.explode(_starts(F.col("words"), n)).alias("item_at"))
     return staged(placed.select("item_id", "item_at", F.slice("words", F.col("item_at"), n).alias("gram")).distinct(), "item-grams")
 
@@ -66,13 +66,13 @@ def shared_places(docs: DataFrame, items: DataFrame, n: int = GRAM) -> DataFrame
     bits = gram_filter(grams, size).scalar()
     copy = F.xxhash64(F.coalesce("text", F.lit(""))).alias("copy")
     worded = docs.select("doc_id", copy, F.col("text"), bits.alias("_bits"))
-    worded = worded.select("doc_id", "copy", "_bits", _once(words_of(F.col("text"))).alias("words"))
+    worded = worded.select("doc_id", "copy", "_bits", once(words_of(F.col("text"))).alias("words"))
 
     def possible(at: Column) -> Column:
         bit = _bit(F.slice("words", at, n), size)
         return F.getbit(F.get("_bits", (bit / 64).cast("int")), (bit % 64).cast("int")) == 1
 
-    kept = worded.select("doc_id", "copy", "words", _once(F.filter(_starts(F.col("words"), n), possible)).alias("places"))
+    kept = worded.select("doc_id", "copy", "words", once(F.filter(_starts(F.col("words"), n), possible)).alias("places"))
     placed = kept.select("doc_id", "copy", "words", F.explode("places").alias("doc_at"))
     doc_side = placed.select(
         "doc_id", "copy", "doc_at", F.slice("words", F.col("doc_at"), n).alias("gram"), F.pmod(F.xxhash64("doc_id", "copy"), F.lit(SALTS)).alias("salt")

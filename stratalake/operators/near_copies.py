@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.operators.contamination import _once, words_of
+from stratalake.operators.contamination import once, words_of
 from stratalake.sources.parquet import staged
 
 WORDS = 5
@@ -77,7 +77,7 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, hub_roun
     returned; a group of null ids only has a null ``group_id``.
     """
     # generators, since an expression within a lambda or below a filter would be computed again and again
-    parsed = docs.withColumn("_words", _once(words_of(F.col("text")))).withColumn("_set", _once(shingles(F.col("_words"), words))).drop("_words")
+    parsed = docs.withColumn("_words", once(words_of(F.col("text")))).withColumn("_set", once(shingles(F.col("_words"), words))).drop("_words")
     digest = F.sha2(F.array_join(F.sort_array("_set"), ","), 256)
     marked = staged(parsed.withColumn("_node", F.when(F.size("_set") > 0, digest)), "sets")
     nodes = staged(
