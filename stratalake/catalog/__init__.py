@@ -1,8 +1,8 @@
 """Registered queries and the SQL they are checked against."""
 
-from stratalake.catalog import curation, gold, layout, marts, mutation, relational, retrieval, streams, tables, text
+from stratalake.catalog import curation, gold, layout, marts, mutation, relational, retained, retrieval, streams, tables, text
 
-MODULES = (relational, mutation, text, retrieval, marts, tables, layout, streams, gold, curation)
+MODULES = (relational, mutation, text, retrieval, marts, tables, layout, streams, gold, curation, retained)
 
 
 def all_queries() -> dict:

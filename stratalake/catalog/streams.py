@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from stratalake.catalog.derive import (
@@ -22,7 +24,7 @@ from stratalake.session import fresh_path
 from stratalake.sources import snapshots
 from stratalake.sources.landing import landing_stream, with_event_time
 from stratalake.sources.parquet import load
-from stratalake.streaming import jobs
+from stratalake.streaming import jobs, late
 
 registry = Registry()
 query = registry.query
@@ -165,6 +167,16 @@ def stream_document_chunks(spark, sf):
 _LATE = "INTERVAL '1 day'"
 
 
+def _three_batches(spark, sf):
+    """The events landed in three turns, one batch each."""
+    events = load(spark, sf, "events").withColumnRenamed("event_type", "tenant")
+    path = fresh_path(spark, "landing")
+    files = events.rdd.getNumPartitions()
+    for turn in range(3):
+        events.where(F.col("event_id") % 3 == turn).repartition(files).write.mode("append").parquet(path)
+    return with_event_time(landing_stream(spark, path, events.schema, files_per_trigger=files))
+
+
 @query(f"""WITH marks AS (SELECT max(ts) - {_LATE} AS mark FROM events WHERE event_id % 3 = 0)
 SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type AS tenant, count(*) AS calls FROM events, marks
 WHERE event_id % 3 < 2 OR time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' > mark GROUP BY 1, 2""")
@@ -173,12 +185,7 @@ def stream_late_rows(spark, sf):
 
     The watermark of the first batch holds for late rows from the third on.
     """
-    events = load(spark, sf, "events").withColumnRenamed("event_type", "tenant")
-    path = fresh_path(spark, "landing")
-    files = events.rdd.getNumPartitions()
-    for turn in range(3):
-        events.where(F.col("event_id") % 3 == turn).repartition(files).write.mode("append").parquet(path)
-    stream = with_event_time(landing_stream(spark, path, events.schema, files_per_trigger=files))
+    stream = _three_batches(spark, sf)
     windows = jobs.tumbling(stream, "event_time", "1 hour", ["tenant"], {"calls": F.count(F.lit(1))}, "1 day")
     windows = windows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
     target = fresh_path(spark, "hourly")
@@ -189,3 +196,22 @@ def stream_late_rows(spark, sf):
     )
     jobs.run_once(run)
     return snapshots.read_table(spark, target)
+
+
+@query(f"""WITH marks AS (SELECT max(ts) FILTER (WHERE event_id % 3 = 0) - {_LATE} AS first, max(ts) FILTER (WHERE event_id % 3 < 2) - {_LATE} AS second FROM events),
+rows AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type AS tenant, ts,
+  CASE event_id % 3 WHEN 0 THEN FALSE WHEN 1 THEN time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= first
+    ELSE time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= second END AS late FROM events, marks)
+SELECT window_start, tenant, count(*) FILTER (WHERE NOT late) AS calls, count(*) FILTER (WHERE late) AS late_calls, max(ts) AS newest
+FROM rows GROUP BY 1, 2""")
+def stream_routed_late(spark, sf):
+    """The same three batches with late rows kept: hourly calls on time, late ones beside them, both in the corrected newest time."""
+    stream = _three_batches(spark, sf)
+    path, hour = fresh_path(spark, "routed"), timedelta(hours=1)
+    run = late.route_late(stream, path, fresh_path(spark, "checkpoint"), "event_time", hour, timedelta(days=1), "routed_late", jobs.ONCE)
+    jobs.run_once(run)
+    start = late.window_start("event_time", hour).cast("timestamp_ntz").alias("window_start")
+    rows = late.routed_rows(spark, path, stream.schema)
+    return rows.groupBy(start, "tenant").agg(
+        F.count_if(~F.col("late")).alias("calls"), F.count_if("late").alias("late_calls"), F.max("ts").alias("newest")
+    )

@@ -32,3 +32,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` rows for a look at a table (S12)."""
     return df.limit(n)
+
+
+def _at(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none if it does not exist."""
+    fs, target = _at(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()) if fs.exists(target) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a partition folder and what it holds."""
+    fs, target = _at(spark, path)
+    fs.delete(target, True)
