@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.sources.parquet import load, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "bucket_of", "components", "global_row_number", "label_sample", "load", "parts", "running_sums", "staged", "unused", "whole_text"]
+__all__ = ["WORD", "bucket_of", "components", "global_row_number", "label_sample", "load", "parts", "running_sums", "shipped", "staged", "unused", "whole_text"]
 
 
 def whole_text(column: str = "text") -> Column:
@@ -27,6 +29,12 @@ def parts(batches: Iterator[Any], rows: int = 64) -> Iterator[Any]:
             yield batch.slice(at, rows)
 
 
+def shipped(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """A broadcast of ``value``, opened in a task by the call; its class travels along, so workers need not have it."""
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(data.value)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -1,8 +1,9 @@
 """Toxicity: a factorization machine over hashed terms.
 
 Terms are the words of a text in lower case and the beginnings of longer words, each counted once and hashed.
-The model keeps the terms that tell the labels apart in the labelled sample; besides a weight, each has a factor
-vector, and the products of factors score pairs of terms that a sum of weights cannot.
+The model keeps the terms that tell the labels apart in the labelled sample, alone or together with another term: two
+terms that are each common among clean texts stay if their meeting is not. Besides a weight, each has a factor vector,
+and the products of factors score pairs of terms that a sum of weights cannot.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import label_sample, whole_text
+from stratalake.llm.common import label_sample, shipped, whole_text
 from stratalake.llm.quality import held_out, sigmoid
 
 SPACE = 1 << 20
@@ -25,6 +26,8 @@ PREFIXES = (4, 5, 6)
 TRAIN_ROWS = 12_000
 TERMS = 4096
 STRENGTH = 4.0
+PAIR_STRENGTH = 6.0  # higher than for terms, since there are many more pairs to meet a label by chance
+PAIR_SUPPORT = 10
 FACTORS = 8
 THRESHOLD = 0.7
 _WORD = re.compile(r"\w+")
@@ -72,9 +75,9 @@ class Machine:
 
 
 def choose(samples: list[np.ndarray], y: np.ndarray, space: int = SPACE, terms: int = TERMS, least: float = STRENGTH) -> np.ndarray:
-    """The hashed terms whose presence tells most about the label, in standard deviations (one more text counted).
+    """The hashed terms whose presence, alone or in a pair, tells most about the label, in standard deviations.
 
-    The extra text keeps rare terms out, which meet a label by chance in a sample of so many terms.
+    One more text is counted: it keeps rare terms out, which meet a label by chance in a sample of so many terms.
     """
     n = np.zeros(space)
     positive = np.zeros(space)
@@ -84,7 +87,49 @@ def choose(samples: list[np.ndarray], y: np.ndarray, space: int = SPACE, terms:
     base = y.mean()
     strength = np.abs(positive - base * n) / np.sqrt(n * base * (1 - base) + 1.0)
     best = np.lexsort((np.arange(space), -strength))[:terms]
-    return np.sort(best[strength[best] >= least])
+    best = best[strength[best] >= least]
+    paired = pair_strengths(samples, y, n, positive)
+    more = sorted(set(paired) - set(best.tolist()), key=lambda t: (-paired[t], t))
+    return np.sort(np.concatenate([best, np.array(more[: terms - len(best)], best.dtype)]))
+
+
+def pair_strengths(samples: list[np.ndarray], y: np.ndarray, n: np.ndarray, positive: np.ndarray,
+                   least: float = PAIR_STRENGTH, support: int = PAIR_SUPPORT) -> dict[int, float]:
+    """Terms that meet another one in ``support`` toxic texts or more, far more often than either alone explains.
+
+    Maps each to the strength of its best pair: toxic texts with both, beyond the larger of both terms' own shares. A pair
+    of that support has members of that support, so all other terms are left out first. Each pair is counted from its
+    rarer term, one vector of counts at a time; clean texts are looked at only where the toxic ones alone would do.
+    """
+    common = np.flatnonzero(positive >= support)
+    common = common[np.argsort(n[common], kind="stable")]
+    place = np.full(len(n), -1, np.int64)
+    place[common] = np.arange(len(common))
+    rows = [np.sort(place[s][place[s] >= 0]) for s in samples]
+    texts = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    after = np.concatenate([np.arange(1, len(r) + 1) for r in rows]) if rows else np.zeros(0, np.int64)
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    order = np.argsort(flat, kind="stable")
+    ends = np.searchsorted(flat[order], np.arange(len(common) + 1))
+    share = (positive[common] + y.mean()) / (n[common] + 1.0)
+    best = np.zeros(len(common))
+    for a in range(len(common)):
+        mine = order[ends[a] : ends[a + 1]]
+
+        def met(which: np.ndarray) -> np.ndarray:
+            later = [rows[t][k:] for t, k in zip(texts[which].tolist(), after[which].tolist())]
+            return np.bincount(np.concatenate(later) - a, minlength=len(common) - a) if later else np.zeros(len(common) - a)
+
+        bad = met(mine[y[texts[mine]] > 0])
+        rate = np.maximum(share[a], share[a:])
+        hopeful = (bad >= support) & (bad * (1 - rate) >= least * np.sqrt(bad * rate * (1 - rate) + 1.0))
+        if hopeful.any():
+            both = bad + met(mine[y[texts[mine]] <= 0])
+            strength = np.where(hopeful, (bad - rate * both) / np.sqrt(both * rate * (1 - rate) + 1.0), 0.0)
+            strength[strength < least] = 0
+            best[a] = max(best[a], strength.max())
+            best[a:] = np.maximum(best[a:], strength)
+    return {int(common[i]): float(best[i]) for i in np.flatnonzero(best)}
 
 
 def train(samples: list[np.ndarray], y: np.ndarray, space: int = SPACE, terms: int = TERMS, factors: int = FACTORS,
@@ -137,18 +182,19 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mac
         return pd.Series([terms.of(t).tobytes() for t in texts], dtype=object)
 
     sample = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(known), "doc_id")  # train_rows ids at most
+    sample = sample.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # one text of a repeated id
     sample = sample.select("doc_id", "label", hashed("text").alias("terms")).toPandas()
-    sample = sample.sort_values(["doc_id", "terms"]).drop_duplicates("doc_id").drop_duplicates(["terms", "label"])
+    sample = sample.sort_values("doc_id").drop_duplicates(["terms", "label"])
     return train([np.frombuffer(t, np.int32) for t in sample["terms"]], sample["label"].to_numpy(np.float64))
 
 
 def with_score(docs: DataFrame, labels: DataFrame, alias: str, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` and the probability of toxicity of each text as a further column ``alias``."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, train_rows))
+    shared = shipped(docs.sparkSession, fit(docs, labels, train_rows))
 
     @F.pandas_udf("double")
     def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = shared.value
+        model = shared()
         terms = Terms(model.keep)
         for texts in batches:
             yield pd.Series(sigmoid(np.array([model.logit(terms.of(t)) for t in texts])), dtype="float64")
@@ -161,7 +207,7 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, thre
 
     ``labels`` has ``doc_id, toxic``; rows with a null in either, and held-out rows, teach nothing; of several
     labels for one id the largest counts. The model learns from at most ``train_rows`` labelled rows, drawn by a
-    hash of the id. A null or empty text has no terms and gets the score of the bias alone. Equal texts get equal
+    hash of the id; the smallest text of a repeated id teaches. A null or empty text has no terms and gets the score of the bias alone. Equal texts get equal
     scores. Extra columns are ignored; an empty table gives no rows.
     """
     scored = with_score(docs.select("doc_id", "text"), labels, "score", train_rows)

@@ -69,6 +69,39 @@ def test_machine_is_a_sum_over_pairs_and_learns_them():
     assert (got == np.array(y)).mean() > 0.97
 
 
+def test_terms_that_are_weak_alone_are_kept_for_their_pair():
+    rng = np.random.default_rng(6)
+    samples, y = [], []
+    for i in range(12_000):
+        words = {100 + int(t) for t in rng.integers(400, size=12)}
+        words |= ({1} if rng.random() < 0.05 else set()) | ({2} if rng.random() < 0.04 else set())
+        toxic = {1, 2} <= words or rng.random() < 0.1
+        samples.append(np.array(sorted(words), np.int32))
+        y.append(float(toxic))
+    y = np.array(y)
+    n, positive = (np.bincount(np.concatenate(samples), np.repeat(w, [len(s) for s in samples]), 512) for w in (np.ones(len(y)), y))
+    alone = np.abs(positive - y.mean() * n) / np.sqrt(n * y.mean() * (1 - y.mean()) + 1)
+    assert alone[[1, 2]].max() < toxicity.STRENGTH
+    assert set(toxicity.pair_strengths(samples, y, n, positive)) == {1, 2} <= set(toxicity.choose(samples, y, 512).tolist())
+    # brute force over all pairs, with a lower bar so that several pass
+    got, want, share = toxicity.pair_strengths(samples, y, n, positive, 3.0, 5), {}, (positive + y.mean()) / (n + 1)
+    has = np.zeros((len(y), 512), np.float32)
+    for i, s in enumerate(samples):
+        has[i, s] = 1
+    both, bad = has.T @ has, has.T @ (has * y[:, None].astype(np.float32))
+    for a in range(512):
+        for b in range(a + 1, 512):
+            r = max(share[a], share[b])
+            strength = (bad[a, b] - r * both[a, b]) / np.sqrt(both[a, b] * r * (1 - r) + 1)
+            if bad[a, b] >= 5 and strength >= 3.0:
+                for t in (a, b):
+                    want[t] = max(want.get(t, 0), strength)
+    assert len(want) > 4 and got.keys() == want.keys() and all(np.isclose(got[t], want[t], rtol=1e-5) for t in want)
+    model = toxicity.train(samples, y, space=512)
+    logit = {t: model.logit(np.array([model.keep[x] for x in t if x in model.keep], np.int32)) for t in ((1,), (2,), (1, 2))}
+    assert logit[1, 2] > 0 > max(logit[1,], logit[2,]) + 1
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 @pytest.mark.parametrize("module, label, modulus, remainder, least", [(quality, "quality", 5, 0, 0.95), (toxicity, "toxic", 3, 1, 0.93)])
 def test_held_out_accuracy(spark, module, label, modulus, remainder, least):
