@@ -18,54 +18,70 @@ RANGES_PER_SHARD = 4
 SAMPLES_PER_RANGE = 16
 PARTS_PER_SHARD = 64
 OVERHEAD = 16
+DRAW_SEED = 8
 
 
 def splitters(rows: DataFrame, total: int, ranges: int, samples: int = SAMPLES_PER_RANGE) -> list[int]:
     """Quantile cuts of keys drawn in proportion to size.
 
-    A row is drawn with probability ``size / step``, from a hash of its id and key, so the expected sample is
-    ``ranges * samples`` keys whatever the table; the largest rows are drawn with certainty and count once.
+    A row is drawn with probability ``size / step``, by its own random number, so the expected sample is
+    ``ranges * samples`` keys whatever the table and however many rows are equal; the largest rows are drawn
+    with certainty and count once.
     """
     step = max(1.0, total / (ranges * samples))
-    draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id", "key"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    keys = sorted(r.key for r in rows.where(draw < F.col("size") / F.lit(step)).select("key").collect())
+    keys = sorted(r.key for r in rows.where(F.col("draw") < F.col("size") / F.lit(step)).select("key").collect())
     return sorted({keys[i * len(keys) // ranges] for i in range(1, ranges)}) if keys else []
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, ranges_per_shard: int = RANGES_PER_SHARD, parts_per_shard: int = PARTS_PER_SHARD) -> DataFrame:
-    """``doc_id, size, text_crc32, shard, slot`` of every row of ``docs`` (``doc_id, text``).
-
-    Size is the UTF-8 length plus 16; null texts count as empty. A shard is the part of the byte line in which
-    the middle of the row's group of equal texts falls, so shards differ by less than one group; a group of more
-    than ``1 / parts_per_shard`` of a shard is cut by rows. Slots number a shard's rows from 0 without gaps.
-    Null ids and repeated rows are rows like any other; an empty table gives no rows.
-    """
+def measured(docs: DataFrame) -> DataFrame:
+    """``doc_id, size, text_crc32, key, draw`` of every row, staged; ``draw`` is a random number of the row, stored once."""
     text = whole_text()
-    rows = staged(
+    return staged(
         docs.select(
             "doc_id",
             (F.octet_length(text) + F.lit(OVERHEAD)).cast("long").alias("size"),
             F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
             F.xxhash64(text).alias("key"),
+            F.rand(DRAW_SEED).alias("draw"),
         ),
         "sizes",
     )
-    total = rows.agg(F.sum("size").alias("s")).first().s or 0
+
+
+def ranged(rows: DataFrame, total: int, shards: int, ranges_per_shard: int, parts_per_shard: int) -> DataFrame:
+    """Measured rows with their range between sampled splitters, staged; ``cut`` groups are dealt to sub-ranges ``sub``.
+
+    A sub-range gets about ``1 / parts_per_shard`` of a shard. Rows are dealt to them by their random number, so a
+    group is cut even if all its rows are equal or have no id.
+    """
     part = max(1.0, total / (shards * parts_per_shard))
     # at most shards * parts_per_shard groups can be this large
     large = staged(rows.groupBy("key").agg(F.sum("size").alias("group_size")).where(F.col("group_size") > F.lit(part)), "large")
     cuts = splitters(rows, total, shards * ranges_per_shard)
-    placed = staged(
+    return staged(
         rows.join(F.broadcast(large), "key", "left").select(
             "doc_id", "size", "text_crc32", "key", F.col("group_size").isNotNull().alias("cut"),
             bucket_of(F.col("key"), cuts).alias("range"),
             F.when(F.col("group_size").isNull(), F.lit(0))
-            .otherwise(1 + F.pmod(F.xxhash64(F.lit("sub"), "doc_id"), F.ceil(F.col("group_size") / F.lit(part))))
+            .otherwise(1 + F.floor(F.col("draw") * F.ceil(F.col("group_size") / F.lit(part))))
             .cast("long")
             .alias("sub"),
         ),
         "ranges",
     )
+
+
+def shard(docs: DataFrame, shards: int = SHARDS, ranges_per_shard: int = RANGES_PER_SHARD, parts_per_shard: int = PARTS_PER_SHARD) -> DataFrame:
+    """``doc_id, size, text_crc32, shard, slot`` of every row of ``docs`` (``doc_id, text``).
+
+    Size is the UTF-8 length plus 16; null texts count as empty. A shard is the part of the byte line in which
+    the middle of the row's group of equal texts falls, so shards differ by less than one group; a group of more
+    than ``1 / parts_per_shard`` of a shard is cut by rows. Slots number a shard's rows from 0 without gaps.
+    Null ids and repeated rows are rows like any other; an empty table gives no rows.
+    """
+    rows = measured(docs)
+    total = rows.agg(F.sum("size").alias("s")).first().s or 0
+    placed = ranged(rows, total, shards, ranges_per_shard, parts_per_shard)
     cell = ["range", "sub_key", "sub"]
     keyed = placed.withColumn("sub_key", F.when(F.col("cut"), F.col("key")).otherwise(F.lit(0)))
     cells = keyed.groupBy(*cell).agg(F.sum("size").alias("bytes"))

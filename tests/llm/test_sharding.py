@@ -46,3 +46,17 @@ def test_odd_rows(odd_docs, make_docs):
     same = [(1, "same")] * 50
     check(sharding.shard(make_docs(same), shards=4).collect(), same, 4)
     assert sharding.shard(make_docs([])).count() == 0
+
+
+def test_a_heavy_text_without_ids_or_of_equal_rows_is_cut(make_docs):
+    for hot in ([(None, "the hot text " * 8)] * 4000, [(7, "the hot text " * 8)] * 4000):
+        docs = hot + [(100 + i, f"text {i} " * 12) for i in range(1000)]
+        rows = sharding.measured(make_docs(docs))
+        total = sum(len(t.encode()) + 16 for _, t in docs)
+        cells = sharding.ranged(rows, total, 10, 4, 64).where("cut").groupBy("key", "sub").count().collect()
+        assert sum(r["count"] for r in cells) == 4000 and max(r["count"] for r in cells) < 60
+        drawn = rows.where(f"draw < size / ({total} / 640)").count()  # the sample that goes to the driver
+        assert 400 < drawn < 900
+        sizes = check(sharding.shard(make_docs(docs), shards=10).collect(), docs, 10)
+        mean = sum(sizes.values()) / 10
+        assert max(sizes.values()) < 1.03 * mean and min(sizes.values()) > 0.97 * mean
