@@ -32,6 +32,7 @@ FACTORS = 8
 THRESHOLD = 0.7
 _WORD = re.compile(r"\w+")
 _CACHE = 200_000
+_MET = 1024
 
 
 class Terms:
@@ -103,22 +104,30 @@ def pair_strengths(samples: list[np.ndarray], y: np.ndarray, n: np.ndarray, posi
     """
     common = np.flatnonzero(positive >= support)
     common = common[np.argsort(n[common], kind="stable")]
-    place = np.full(len(n), -1, np.int64)
-    place[common] = np.arange(len(common))
-    rows = [np.sort(place[s][place[s] >= 0]) for s in samples]
-    texts = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    after = np.concatenate([np.arange(1, len(r) + 1) for r in rows]) if rows else np.zeros(0, np.int64)
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    order = np.argsort(flat, kind="stable")
-    ends = np.searchsorted(flat[order], np.arange(len(common) + 1))
+    place = np.full(len(n), -1, np.int32)
+    place[common] = np.arange(len(common), dtype=np.int32)
+    known = place >= 0
+    sizes = np.array([np.count_nonzero(known[s]) for s in samples], np.int64)
+    stops = np.cumsum(sizes)
+    flat = np.empty(sizes.sum(), np.int32)  # the places of each text, one text after the other, ascending in a text
+    for s, stop, size in zip(samples, stops, sizes):
+        flat[stop - size : stop] = np.sort(place[s[known[s]]])
+    texts = np.repeat(np.arange(len(samples), dtype=np.int32), sizes)
+    order = np.argsort(flat, kind="stable").astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(flat, minlength=len(common)))])
     share = (positive[common] + y.mean()) / (n[common] + 1.0)
     best = np.zeros(len(common))
     for a in range(len(common)):
         mine = order[ends[a] : ends[a + 1]]
 
         def met(which: np.ndarray) -> np.ndarray:
-            later = [rows[t][k:] for t, k in zip(texts[which].tolist(), after[which].tolist())]
-            return np.bincount(np.concatenate(later) - a, minlength=len(common) - a) if later else np.zeros(len(common) - a)
+            """How often each term from the one at hand meets it in the given entries, _MET texts at a time."""
+            total = np.zeros(len(common) - a, np.int64)
+            for at in range(0, len(which), _MET):
+                part = which[at : at + _MET]
+                later = [flat[e + 1 : stop] for e, stop in zip(part.tolist(), stops[texts[part]].tolist())]
+                total += np.bincount(np.concatenate(later) - a, minlength=len(total))
+            return total
 
         bad = met(mine[y[texts[mine]] > 0])
         rate = np.maximum(share[a], share[a:])
