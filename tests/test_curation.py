@@ -107,6 +107,18 @@ def test_one_large_group_is_linear(spark, monkeypatch):
     assert sum(seen) <= 2 * len(rows)
 
 
+def test_near_copies_store_no_sets(spark, monkeypatch, tmp_path):
+    rng = random.Random(4)
+    frequent = " ".join(f"line{i}" for i in range(40))  # in every text, so its shingles must not make pairs
+    rows = [(i, " ".join([frequent, *(f"w{rng.randint(0, 50_000)}" for _ in range(400))]), "s", "MIT") for i in range(300)]
+    rows += [(1000 + i, text.replace("line7", "other"), "s", "MIT") for i, text, *_ in rows[:20]]
+    monkeypatch.setattr("stratalake.session.scratch_root", lambda spark: str(tmp_path))
+    got = near_copies.groups(spark.createDataFrame(rows, DOCS))
+    assert {r.doc_id: r.group_id for r in got.collect()} == {i: i % 1000 for i, *_ in rows}
+    stored = sum(f.stat().st_size for f in (tmp_path / "stratalake").rglob("*.parquet"))
+    assert stored < 1.5 * sum(len(text) for _, text, *_ in rows)
+
+
 def test_feed_in_any_order(spark):
     rng = random.Random(2)
     keys = [*range(20), None]
