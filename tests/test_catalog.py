@@ -36,3 +36,13 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_approximate_counts_hold_one_sketch_a_group(spark, tmp_path):
+    rows = [(i % 7, "ab"[i % 2] if i % 5 else None, f"p{i % 3}") for i in range(60)] + [(None, "c", None)]
+    spark.createDataFrame(rows, "user_id long, event_type string, props string").write.parquet(f"{tmp_path}/events.parquet")
+    found = all_queries()["approx_distinct_holds"](spark, str(tmp_path))
+    assert {tuple(r) for r in found.collect()} == {(t, True, True) for t in ("a", "b", "c", None)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    sketched = [line for line in plan.splitlines() if "approx_count_distinct(" in line and "Aggregate [" in line]
+    assert sketched and not any("gid" in line or "user_id" in line.split("]")[0] for line in sketched)
