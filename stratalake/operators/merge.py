@@ -43,7 +43,8 @@ def _checked_source(
         return source.withColumn(_HIT, F.lit(True))
     if on_duplicate != "error":
         raise ValueError(f"on_duplicate must be 'error', 'latest' or 'trust', got {on_duplicate!r}")
-    copies = _keyed(source, on).groupBy(*on).agg(F.count(F.lit(1)).alias("_copies"))
+    # repeated keys alone: none as a rule, so the source is not sorted once more to meet them
+    copies = _keyed(source, on).groupBy(*on).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
     marker = F.when(
         F.col("_copies") > 1, F.raise_error(F.lit("merge source holds a key more than once")).cast("boolean")
     ).otherwise(F.lit(True))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators.layout import cluster, coalesce_to_size, file_stats
-from stratalake.operators.merge import ACTION, delete_where, merge, merge_counts, merge_metrics
+from stratalake.operators.merge import ACTION, delete_where, merge, merge_counts
 
 COMMITS = T.StructType(
     [
@@ -409,12 +409,10 @@ def merge_table(
     source.write.mode("overwrite").parquet(staging)
     staged = spark.read.schema(source.schema).parquet(staging)
 
-    keys = _read_dirs(spark, path, schema, head.dirs)
-    if len(head.dirs) > 1:
-        keys = keys.select(*on, F.col("_metadata.file_path").alias("_file"))
+    rewrite, keep = [], []
+    if head.dirs:  # a single folder as well: a stream that only inserts would else rewrite its table with every batch
+        keys = _read_dirs(spark, path, schema, head.dirs).select(*on, F.col("_metadata.file_path").alias("_file"))
         rewrite, keep, _ = _touched(keys.join(staged.select(*on), list(on), "left_semi"), head)
-    else:
-        rewrite, keep = head.dirs, []
     # every matched key lives in a rewritten folder, so a source row without a match there has none at all
     base = _read_dirs(spark, path, schema, rewrite).select(*schema.names)
     merged = merge(base, staged, on, keep_action=True, **options)
@@ -422,9 +420,10 @@ def merge_table(
         seen = Observation()
         dirs = _write_files(merged.observe(seen, *merge_counts()).drop(ACTION), path, version, head.partition_by, None)
         counts = seen.get
-    else:  # inserts alone; a plan that Spark finds to be empty observes nothing
+    else:  # inserts alone, counted by the files' footers; a plan that Spark finds to be empty observes nothing
         dirs = _write_files(merged.drop(ACTION), path, version, head.partition_by, None)
-        counts = merge_metrics(merged).first().asDict()
+        added = _read_dirs(spark, path, schema, dirs).count()
+        counts = {"rows_updated": 0, "rows_inserted": added, "rows_copied": 0, "rows_written": added}
     _write_ranges(spark, path, version, schema, dirs, head.ranged)
     done = _write_commit(
         spark, path, version, "MERGE", schema, head.partition_by, [*keep, *dirs], counts, batch_id, head.ranged
