@@ -61,6 +61,7 @@ def merge(
     on_duplicate: str = "error",
     order_by: Sequence[str | Column] = (),
     keep_action: bool = False,
+    packed: bool = False,
 ) -> DataFrame:
     """Target after the merge (T-1 to T-4).
 
@@ -68,6 +69,10 @@ def merge(
     ``t.`` and ``s.`` naming the two sides; ``None`` leaves matched rows alone. ``not_matched=None``
     inserts nothing. ``condition`` limits the update to matched rows for which it holds. NULL keys
     never match. ``keep_action`` adds ``_action``: update, copy or insert.
+
+    The search for new rows keeps to ``spark.sql.shuffle.partitions``: adaptive execution packs tasks by
+    shuffled bytes, and bare keys take many times those in the task that sorts them. ``packed`` lets it pack
+    them, for few rows; ``latest`` always does, as its source is shuffled by key already.
     """
     on = list(on)
     src = _checked_source(source, on, on_duplicate, order_by)
@@ -96,6 +101,9 @@ def merge(
     result = kept
     if not_matched == "insert":
         seen = _keyed(target.select(*on), on).distinct()
+        if not packed and on_duplicate != "latest":
+            parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            src = _checked_source(source.repartition(parts, *on), on, on_duplicate, order_by)
         fresh = src.join(seen, on, "left_anti").where(F.col(_HIT))
         fresh = fresh.select(
             *[

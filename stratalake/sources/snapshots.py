@@ -38,6 +38,7 @@ COMMITS = T.StructType(
 
 
 MANY_FILES = 10_000
+PACKED_ROWS = 1_000_000
 
 
 class SchemaMismatch(ValueError):
@@ -363,6 +364,19 @@ def _touched(rows: DataFrame, head: Row) -> tuple[list[str], list[str], int]:
     return [d for d in head.dirs if d in hit], [d for d in head.dirs if d not in hit], sum(hit.values())
 
 
+def _files_with(table: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Files of the table that hold a key of ``source``.
+
+    Keys travel with a hash of their file, as sorted rows would hold its whole path each; should two files
+    share a hash, both are found.
+    """
+    file = F.col("_metadata.file_path")
+    keys = table.select(*on, F.xxhash64(file).alias("_hash"))
+    hit = keys.join(source.select(*on), list(on), "left_semi").select("_hash").distinct()
+    files = table.select(file.alias("_file")).distinct().withColumn("_hash", F.xxhash64("_file"))
+    return files.join(hit, "_hash").select("_file")  # a semi join would move below the distinct and meet every row
+
+
 def _delete_folder(spark: SparkSession, folder: str) -> None:
     fs, path = _at(spark, folder)
     fs.delete(path, True)
@@ -411,14 +425,17 @@ def merge_table(
 
     rewrite, keep = [], []
     if head.dirs:  # a single folder as well: a stream that only inserts would else rewrite its table with every batch
-        keys = _read_dirs(spark, path, schema, head.dirs).select(*on, F.col("_metadata.file_path").alias("_file"))
-        rewrite, keep, _ = _touched(keys.join(staged.select(*on), list(on), "left_semi"), head)
+        rewrite, keep, _ = _touched(_files_with(_read_dirs(spark, path, schema, head.dirs), staged, on), head)
     # every matched key lives in a rewritten folder, so a source row without a match there has none at all
     base = _read_dirs(spark, path, schema, rewrite).select(*schema.names)
-    merged = merge(base, staged, on, keep_action=True, **options)
+    packed = not rewrite or base.count() + staged.count() <= PACKED_ROWS
+    merged = merge(base, staged, on, keep_action=True, packed=packed, **options)
     if rewrite:
         seen = Observation()
-        dirs = _write_files(merged.observe(seen, *merge_counts()).drop(ACTION), path, version, head.partition_by, None)
+        written = merged.observe(seen, *merge_counts()).drop(ACTION)
+        if not packed and not head.partition_by:  # else every task of the merge leaves a file
+            written = written.hint("rebalance", *[F.col(c) for c in on])
+        dirs = _write_files(written, path, version, head.partition_by, None)
         counts = seen.get
     else:  # inserts alone, counted by the files' footers; a plan that Spark finds to be empty observes nothing
         dirs = _write_files(merged.drop(ACTION), path, version, head.partition_by, None)

@@ -60,6 +60,37 @@ def test_merge_has_no_full_outer_join(spark):
     assert "FullOuter" not in plan and "LeftAnti" in plan
 
 
+def test_merge_finds_new_rows_in_unpacked_tasks(spark):
+    """Packed by shuffled bytes, 9 million keys came to 638 MB of one task."""
+    target, source = (spark.range(n, n + 300_000).withColumn("v", F.lit(n)) for n in (0, 200_000))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert parts > 1
+    for check in ("error", "trust"):
+        fixed, packed = (merge(target, source, ["id"], on_duplicate=check, keep_action=True, packed=p) for p in (False, True))
+        assert "REPARTITION_BY_NUM" in plan_of(fixed) and "REPARTITION_BY_NUM" not in plan_of(packed)
+        tasks = fixed.where("_action = 'insert'").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert tasks == parts
+        assert sorted(fixed.groupBy("_action").count().collect()) == sorted(packed.groupBy("_action").count().collect())
+
+
+def test_merge_searches_keys_without_file_paths(spark, table):
+    st.write_table(spark.range(100).withColumn("v", F.lit(0)), table, files=4)
+    dirs = st._existing(spark, table).dirs
+    stored = st._read_dirs(spark, table, st._schema(st._existing(spark, table)), dirs)
+    found = st._files_with(stored, spark.createDataFrame([(7,), (7,), (None,), (500,)], "id long"), ["id"])
+    assert found.count() == 1
+    with_keys = [line for line in plan_of(found).splitlines() if "Project [id#" in line]
+    assert any("AS _hash#" in line for line in with_keys) and not any("AS _file#" in line for line in with_keys)
+
+
+def test_a_large_merge_leaves_few_files(spark, table, monkeypatch):
+    st.write_table(spark.range(100).withColumn("v", F.lit(0)), table, files=1)
+    monkeypatch.setattr(st, "PACKED_ROWS", 10)
+    st.merge_table(spark.range(50, 150).withColumn("v", F.lit(1)), table, ["id"])
+    assert st.active_files(spark, table).count() == 1
+    assert (st.read_table(spark, table).count(), st.read_table(spark, table).where("v = 1").count()) == (150, 100)
+
+
 def test_merge_reads_only_touched_folders(spark, table):
     rows = spark.range(100).withColumn("part", (F.col("id") % 4).cast("int")).withColumn("v", F.lit(0))
     st.write_table(rows, table, partition_by=["part"])
