@@ -403,6 +403,7 @@ def merge_table(
     on: Sequence[str],
     batch_id: str | None = None,
     schema_mode: str | None = None,
+    session: SparkSession | None = None,
     **options,
 ) -> int:
     """``merge`` into the table as a new version; the commit carries the row counts (T-1 to T-5).
@@ -412,8 +413,11 @@ def merge_table(
     are rewritten; a key-only semi join finds them. The counts are observed while the files are written. The
     source must fit the table's schema unless ``schema_mode`` is ``merge`` (add columns). A ``batch_id`` that
     was committed before makes the call a no-op, which makes streaming retries safe (R-3).
+
+    ``session`` merges what the source's own session has staged. A stateful stream turns adaptive execution off
+    in the session of its batches, where no write is rebalanced: every task would leave a file in every partition.
     """
-    spark = source.sparkSession
+    spark = session or source.sparkSession
     head = _existing(spark, path)
     if _committed(spark, path, batch_id):
         return head.version
@@ -423,8 +427,9 @@ def merge_table(
     source.write.mode("overwrite").parquet(staging)
     staged = spark.read.schema(source.schema).parquet(staging)
 
-    rewrite, keep = [], []
-    if head.dirs:  # a single folder as well: a stream that only inserts would else rewrite its table with every batch
+    rewrite, keep = [], head.dirs
+    # a single folder as well: a stream that only inserts would else rewrite its table with every batch
+    if head.dirs and not staged.isEmpty():  # a batch of nothing but repeats has no keys to look for
         rewrite, keep, _ = _touched(_files_with(_read_dirs(spark, path, schema, head.dirs), staged, on), head)
     # every matched key lives in a rewritten folder, so a source row without a match there has none at all
     base = _read_dirs(spark, path, schema, rewrite).select(*schema.names)

@@ -35,7 +35,7 @@ def upsert_stream(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         run = spark.read.schema("id string").json(f"{checkpoint}/metadata").first().id
-        snapshots.merge_table(transform(batch), path, on, batch_id=f"{name}:{run}:{batch_id}", **merge_options)
+        snapshots.merge_table(transform(batch), path, on, batch_id=f"{name}:{run}:{batch_id}", session=spark, **merge_options)
 
     writer = stream.writeStream.foreachBatch(apply).outputMode(output_mode).option("checkpointLocation", checkpoint)
     return writer.queryName(name).trigger(**(trigger or EVERY_FIVE_MINUTES)).start()
