@@ -433,6 +433,8 @@ def merge_table(
         rewrite, keep, _ = _touched(_files_with(_read_dirs(spark, path, schema, head.dirs), staged, on), head)
     # every matched key lives in a rewritten folder, so a source row without a match there has none at all
     base = _read_dirs(spark, path, schema, rewrite).select(*schema.names)
+    if not rewrite and head.partition_by:  # planned as empty: new rows meet no one, and move once, to their partitions
+        base = base.limit(0)
     packed = not rewrite or base.count() + staged.count() <= PACKED_ROWS
     merged = merge(base, staged, on, keep_action=True, packed=packed, **options)
     if rewrite:

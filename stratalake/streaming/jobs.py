@@ -43,7 +43,7 @@ def upsert_stream(
 
 def create_empty(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Table with the schema of ``df`` and no rows."""
-    empty = df.sparkSession.createDataFrame([], df.schema)
+    empty = df.sparkSession.createDataFrame([], df.schema).limit(0)  # planned as empty: no Python worker starts
     return snapshots.write_table(empty, path, partition_by=partition_by, operation="CREATE")
 
 

@@ -2,6 +2,7 @@
 
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from stratalake.sources import snapshots as st
@@ -31,3 +32,15 @@ def test_a_deduplicated_stream_leaves_few_files(spark, table, tmp_path):
     assert st.active_files(spark, table).count() == days
     versions = [r.metrics.get("rows_inserted") for r in st.history(spark, table).where("operation = 'MERGE'").orderBy("version").collect()]
     assert versions[0] == kept.count() and set(versions[1:]) == {0}
+
+
+def test_an_insert_only_merge_still_checks_its_source(spark, table):
+    """Null keys are inserted, as they meet no row; a repeated key raises, also where the table has no rows."""
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "b"), (None, "b")], "k long, day string")
+    jobs.create_empty(rows, table, partition_by=["day"])
+    with pytest.raises(Exception, match="more than once"):
+        st.merge_table(rows.unionByName(rows.where("k = 1")), table, ["k"])
+    st.merge_table(rows, table, ["k"])
+    assert sorted(r.k for r in st.read_table(spark, table).where("k IS NOT NULL").collect()) == [1, 2]
+    assert st.read_table(spark, table).where("k IS NULL").count() == 2
+    assert st.history(spark, table).first().metrics == {"rows_updated": 0, "rows_inserted": 4, "rows_copied": 0, "rows_written": 4}
